@@ -49,20 +49,22 @@ def top_attackers(alerts: DataFrame, n: int = 5) -> DataFrame:
 def alert_statistics(alerts: DataFrame, limit: int = schema.ALERTS_KEPT) -> DataFrame:
     """Total, per type and per source over the newest `limit` alerts, in one pass.
 
-    Rows are (dimension, value, count), with dimension total, attack_type or src_ip.
+    Rows are (dimension, value, count), with dimension total, attack_type or src_ip. The
+    total is there, as 0, for an empty store too.
     """
-    recent = read_recent_alerts(alerts, limit).select(
-        F.coalesce(F.col("attack_type"), F.lit("UNKNOWN")).alias("attack_type"),
-        F.coalesce(F.col("src_ip"), F.lit("UNKNOWN")).alias("src_ip"),
+    entries = F.array(
+        F.struct(F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value")),
+        *[
+            F.struct(F.lit(c).alias("dimension"), F.coalesce(F.col(c), F.lit("UNKNOWN")).alias("value"))
+            for c in ("attack_type", "src_ip")
+        ],
     )
-    counted = recent.groupingSets(
-        [[], ["attack_type"], ["src_ip"]], "attack_type", "src_ip"
-    ).agg(F.count("*").alias("count"), F.grouping_id().alias("level"))
-    dimension = (
-        F.when(F.col("level") == 1, "attack_type").when(F.col("level") == 2, "src_ip").otherwise("total")
+    counted = read_recent_alerts(alerts, limit).select(F.inline(entries)).withColumn("n", F.lit(1))
+    no_alert = alerts.sparkSession.range(1).select(
+        F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value"), F.lit(0).alias("n")
     )
-    return counted.select(
-        dimension.alias("dimension"), F.coalesce("attack_type", "src_ip").alias("value"), "count"
+    return (
+        counted.unionByName(no_alert).groupBy("dimension", "value").agg(F.sum("n").alias("count"))
     )
 
 

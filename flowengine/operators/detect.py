@@ -52,10 +52,12 @@ def raise_alerts(windows: DataFrame, rules: Iterable[Rule], size: int) -> DataFr
     Windows below every threshold go first, so alert text is only built for the rest.
     """
     rules = list(rules)
-    reached = reduce(or_, (F.col(r.metric) >= r.threshold for r in rules))
-    candidates = F.array(*[_alert(rule, size) for rule in rules])
+    reached = windows.filter(reduce(or_, (F.col(r.metric) >= r.threshold for r in rules)))
+    if len(rules) == 1:
+        return reached.select(*_alert(rules[0], size))
+    candidates = F.array(*[F.struct(*_alert(rule, size)) for rule in rules])
     raised = F.filter(candidates, lambda a: a["metric_count"] >= a["threshold"])
-    return windows.filter(reached).select(F.inline(raised))
+    return reached.select(F.inline(raised))
 
 
 def flood_alerts(
@@ -129,7 +131,7 @@ def all_alerts(
         W.flood_from_panes(panes, flood_size), [replace(FLOOD, threshold=flood_threshold)], flood_size
     )
     sliding = raise_alerts(
-        W._as_instants(W.windows_from_panes(panes, size, slide, ports), size),
+        W.as_instants(W.windows_from_panes(panes, size, slide, ports), size),
         _sliding_rules(scan_threshold, auth_threshold),
         size,
     )
@@ -143,10 +145,10 @@ def _sliding_rules(scan_threshold: int, auth_threshold: int) -> list[Rule]:
     ]
 
 
-def _alert(rule: Rule, size: int) -> Column:
+def _alert(rule: Rule, size: int) -> list[Column]:
     metric = F.col(rule.metric)
     end = F.col("window_end")
-    return F.struct(
+    return [
         alert_id(rule.tag, end, F.col("src_ip")).alias("alert_id"),
         iso_text(end).alias("timestamp"),
         F.col("src_ip"),
@@ -156,4 +158,4 @@ def _alert(rule: Rule, size: int) -> Column:
         F.lit(f"{rule.window}_{size}S").alias("window_type"),
         F.lit(rule.severity).alias("severity"),
         F.format_string(rule.details, metric, F.lit(size)).alias("details"),
-    )
+    ]

@@ -122,6 +122,17 @@ def attack_detection(
     alerts: DataFrame, attacks: DataFrame, events_per_second: float = EVENTS_PER_SECOND
 ) -> DataFrame:
     """Per attack, whether and after how many seconds its first alert came."""
+    return _first_alerts(alerts, attacks).select(
+        "attack_no",
+        "type",
+        "ip",
+        F.col("latency").isNotNull().alias("detected"),
+        (F.col("latency") / events_per_second).alias("first_alert_s"),
+    )
+
+
+def _first_alerts(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
+    """Per attack, the events until its first alert; NULL where it was missed."""
     # backwards in time, so that the frame grows at one end and each row costs one step
     later = Window.partitionBy("ip").orderBy(F.desc("pos"), F.desc("is_alert")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -129,15 +140,9 @@ def attack_detection(
     first = F.min(F.when(F.col("is_alert") == 1, F.col("pos"))).over(later)
     return (
         _timeline(alerts, attacks)
-        .withColumn("first_alert", first)
+        .withColumn("latency", first - F.col("start_idx"))
         .filter(F.col("is_alert") == 0)
-        .select(
-            "attack_no",
-            "type",
-            "ip",
-            F.col("first_alert").isNotNull().alias("detected"),
-            ((F.col("first_alert") - F.col("start_idx")) / events_per_second).alias("first_alert_s"),
-        )
+        .select("attack_no", "type", "ip", "latency")
     )
 
 
@@ -176,11 +181,11 @@ def detection_quality(
             F.lit(no_alert_latency),
         ).alias("mean_latency_s"),
     )
-    per_attack = attack_detection(alerts, attacks, events_per_second).agg(
+    per_attack = _first_alerts(alerts, attacks).agg(
         F.struct(
             F.count("*").alias("attacks"),
-            F.count_if("detected").alias("detected"),
-            F.avg("first_alert_s").alias("mean_first_alert_s"),
+            F.count("latency").alias("detected"),
+            (F.avg("latency") / events_per_second).alias("mean_first_alert_s"),
         )
     )
     found = F.col("found")

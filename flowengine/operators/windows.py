@@ -53,7 +53,7 @@ def sliding_windows(
     """
     if not flows.isStreaming and size % slide == 0:
         panes = port_panes(flows, slide)
-        return _as_instants(windows_from_panes(panes, size, slide, auth_ports), size)
+        return as_instants(windows_from_panes(panes, size, slide, auth_ports), size)
     return sliding_windows_by_row(flows, size, slide, auth_ports)
 
 
@@ -119,7 +119,7 @@ def auth_windows(
         .groupBy("window_end", "src_ip")
         .agg(F.sum("flows").alias("auth_attempts"))
     )
-    return _as_instants(windows, size)
+    return as_instants(windows, size)
 
 
 def pane_of(position: Column, slide: int) -> Column:
@@ -142,7 +142,7 @@ def flood_from_panes(panes: DataFrame, size: int) -> DataFrame:
     windows = panes.groupBy((pane_of(F.col("pane"), size) + size).alias("window_end"), "src_ip").agg(
         F.sum("flows").alias("request_count")
     )
-    return _as_instants(windows, size)
+    return as_instants(windows, size)
 
 
 def windows_from_panes(
@@ -177,7 +177,8 @@ def _window_ends(size: int, slide: int) -> Column:
     return F.explode(F.sequence(pane + slide, pane + size, F.lit(slide).cast("bigint")))
 
 
-def _as_instants(windows: DataFrame, size: int) -> DataFrame:
+def as_instants(windows: DataFrame, size: int) -> DataFrame:
+    """Window ends in epoch seconds as `window_start` and `window_end` timestamps."""
     metrics = [c for c in windows.columns if c != "window_end"]
     return windows.select(
         F.timestamp_seconds(F.col("window_end") - size).alias("window_start"),

@@ -16,16 +16,16 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow rows with `event_ts` and the event number `i`."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    user, number, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    number, kind = F.col("event_id"), F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
     digit = number % 10
     return events.select(
         iso_text(F.col("ts")).alias("timestamp"),
         F.concat(
             F.lit("192.168."),
-            ((user - user % 250) / 250).cast("bigint").cast("string"),
+            F.expr("string(user_id div 250)"),
             F.lit("."),
-            (user % 250).cast("string"),
+            F.expr("string(user_id % 250)"),
         ).alias("src_ip"),
         F.concat(F.lit("10.0.0."), (number % 4).cast("string")).alias("dst_ip"),
         (F.lit(1024) + number % 60000).cast("int").alias("src_port"),

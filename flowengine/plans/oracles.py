@@ -88,24 +88,26 @@ attacks AS (
   GROUP BY label, src_ip, substr("timestamp", 1, 10)
 ),
 tumbling AS (
-  SELECT i - i % {c.BUCKET['size']} + {c.BUCKET['size']} - 1 AS idx, src_ip AS ip, count(*) AS events
-  FROM flows GROUP BY ALL
-  HAVING count(*) >= {c.BUCKET['min_events']} AND idx <= (SELECT max(i) FROM flows)
+  SELECT * FROM (
+    SELECT i - i % {c.BUCKET['size']} + {c.BUCKET['size']} - 1 AS idx, src_ip AS ip,
+           count(*) AS events
+    FROM flows GROUP BY ALL)
+  WHERE events >= {c.BUCKET['min_events']} AND idx <= (SELECT max(i) FROM flows)
 ),
 sliding AS (
-  SELECT i - i % {c.BUFFER['slide']} + g * {c.BUFFER['slide']} + {c.BUFFER['slide']} - 1 AS idx,
-         src_ip AS ip, count(*) AS events, count(DISTINCT dst_port) AS ports
-  FROM flows, generate_series(0, {c.BUFFER['size'] // c.BUFFER['slide'] - 1}) AS t(g)
-  GROUP BY ALL
-  HAVING (count(DISTINCT dst_port) >= {c.BUFFER['min_ports']}
-          OR count(*) >= {c.BUFFER['min_events']})
-     AND idx <= (SELECT max(i) FROM flows)
+  SELECT * FROM (
+    SELECT i - i % {c.BUFFER['slide']} + g * {c.BUFFER['slide']} + {c.BUFFER['slide']} - 1 AS idx,
+           src_ip AS ip, count(*) AS events, count(DISTINCT dst_port) AS ports
+    FROM flows, generate_series(0, {c.BUFFER['size'] // c.BUFFER['slide'] - 1}) AS t(g)
+    GROUP BY ALL)
+  WHERE (ports >= {c.BUFFER['min_ports']} OR events >= {c.BUFFER['min_events']})
+    AND idx <= (SELECT max(i) FROM flows)
 )"""
 
 
 def _quality(source: str, design: str, no_alert_latency: float) -> str:
     return f"""
-  SELECT '{design}' AS design,
+  SELECT *, matched_alerts / alerts AS precision FROM (SELECT '{design}' AS design,
          (SELECT count(*) FROM {source}) AS alerts,
          (SELECT count(*) FROM {source} x
           WHERE EXISTS (SELECT 1 FROM attacks t WHERE t.ip = x.ip AND t.start_idx <= x.idx))
@@ -116,8 +118,7 @@ def _quality(source: str, design: str, no_alert_latency: float) -> str:
          (SELECT avg(first_idx - start_idx) / 10.0 FROM first_{source}) AS mean_first_alert_s,
          (SELECT count(*) FROM attacks) AS attacks,
          (SELECT count(first_idx) FROM first_{source}) AS detected_attacks,
-         (SELECT count(first_idx) / count(*) FROM first_{source}) AS recall,
-         matched_alerts / alerts AS precision"""
+         (SELECT count(first_idx) / count(*) FROM first_{source}) AS recall)"""
 
 
 def _first(source: str) -> str:
