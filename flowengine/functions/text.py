@@ -20,7 +20,7 @@ def normalise(text: Column) -> Column:
 
 def is_data_line(line: Column) -> Column:
     """Neither blank nor a header, wherever in the file it stands."""
-    return (line != "") & ~line.startswith("timestamp")
+    return ~line.rlike(r"^[\x00-\x20]*(?:timestamp|\z)")
 
 
 def field_of_lines(lines: DataFrame, position: int, name: str) -> DataFrame:
@@ -28,11 +28,11 @@ def field_of_lines(lines: DataFrame, position: int, name: str) -> DataFrame:
 
     Trailing empty fields do not count, and a line too short to have the field is
     dropped. Slicing one element and exploding it does the arity check and the
-    extraction in a single evaluation of the split.
+    extraction in a single evaluation of the split. The field itself is not stripped.
     """
-    line = strip_blanks(F.col("value"))
+    content = F.rtrim(F.rtrim("value", F.lit(BLANKS)), F.lit(","))
     # position + 2 pieces are enough: the wanted one is then never the unsplit rest
-    fields = F.split(F.rtrim(line, F.lit(",")), ",", position + 2)
-    return lines.filter(is_data_line(line)).select(
+    fields = F.split(content, ",", position + 2)
+    return lines.filter(is_data_line(F.col("value"))).select(
         F.explode(F.slice(fields, position + 1, 1)).alias(name)
     )

@@ -12,6 +12,9 @@ from flowengine.operators.windows import pane_of, windows_from_panes
 
 EVENTS_PER_SECOND = 10.0
 
+# Event numbers one group of an address's timeline may span.
+STRETCH_EVENTS = 1 << 16
+
 
 def label_events(events: DataFrame, attacks: DataFrame, block: int = 256) -> DataFrame:
     """Each event with the first attack in list order whose interval holds it.
@@ -22,36 +25,33 @@ def label_events(events: DataFrame, attacks: DataFrame, block: int = 256) -> Dat
     them: any number of attacks spanning a whole block leaves one row, and an event meets
     only that row and the attacks that start or end inside its own block.
     """
-    end = F.col("start_idx") + F.col("duration")
-    width = F.lit(block).cast("bigint")
-    blocks = attacks.filter(F.col("duration") > 0).select(
-        F.struct("attack_no", "type").alias("attack"),
-        "start_idx",
-        end.alias("end_idx"),
-        F.explode(
-            F.sequence(pane_of(F.col("start_idx"), block), pane_of(end - 1, block), width)
-        ).alias("block"),
+    i, end = F.col("i"), F.col("start_idx") + F.col("duration")
+    blocks = F.sequence(
+        pane_of(F.col("start_idx"), block), pane_of(end - 1, block), F.lit(block).cast("bigint")
+    )
+    pieces = (
+        attacks.filter(F.col("duration") > 0)
+        .select("attack_no", "start_idx", end.alias("end_idx"), F.explode(blocks).alias("block"))
+        .groupBy(
+            "block",
+            F.greatest("start_idx", "block").alias("lo"),
+            F.least("end_idx", F.col("block") + block).alias("hi"),
+        )
+        .agg(F.min("attack_no").alias("attack_no"))
     )
-    pieces = blocks.groupBy(
-        "block",
-        F.greatest("start_idx", "block").alias("lo"),
-        F.least("end_idx", F.col("block") + block).alias("hi"),
-    ).agg(F.min("attack").alias("attack"))
-    held = (
-        (pane_of(F.col("i"), block) == F.col("block"))
-        & (F.col("i") >= F.col("lo"))
-        & (F.col("i") < F.col("hi"))
+    owners = (
+        events.select("i", pane_of(i, block).alias("block"))
+        .join(pieces, "block")
+        .filter((i >= F.col("lo")) & (i < F.col("hi")))
+        .groupBy("i")
+        .agg(F.min("attack_no").alias("attack_no"))
     )
-    attributes = [F.any_value(c).alias(c) for c in events.columns if c != "i"]
+    kinds = attacks.select("attack_no", F.col("type").alias("attack_type"))
     return (
-        events.join(pieces, held, "left")
-        .groupBy("i")  # unique: the event's number
-        .agg(*attributes, F.min("attack").alias("attack"))
+        events.join(owners, "i", "left")
+        .join(kinds, "attack_no", "left")
         .select(
-            *events.columns,
-            F.col("attack.attack_no").alias("attack_no"),
-            F.col("attack.type").alias("attack_type"),
-            F.col("attack").isNotNull().alias("is_anomaly"),
+            *events.columns, "attack_no", "attack_type", F.col("attack_no").isNotNull().alias("is_anomaly")
         )
     )
 
@@ -99,21 +99,10 @@ def _closed(hits: DataFrame, events: DataFrame, n_events: int | None) -> DataFra
 
 def match_alerts(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
     """Per (ip, idx), the alerts, the attacks by that ip begun by then, and the sum
-    of their latencies in events.
-
-    Running sums over each address's timeline stand in for the join of every alert with
-    every earlier attack, so no pair is ever formed.
-    """
-    started = Window.partitionBy("ip").orderBy("pos", "is_alert").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    n_attacks = F.count("start_idx").over(started)
-    start_sum = F.coalesce(F.sum("start_idx").over(started), F.lit(0))
+    of their latencies in events. No pair of alert and attack is ever formed."""
     return (
         _timeline(alerts, attacks)
-        .withColumn("attacks", n_attacks)
-        .withColumn("latency_sum", F.col("pos") * n_attacks - start_sum)
-        .filter(F.col("is_alert") == 1)
+        .filter("is_alert")
         .select("ip", F.col("pos").alias("idx"), "alerts", "attacks", "latency_sum")
     )
 
@@ -122,37 +111,74 @@ def attack_detection(
     alerts: DataFrame, attacks: DataFrame, events_per_second: float = EVENTS_PER_SECOND
 ) -> DataFrame:
     """Per attack, whether and after how many seconds its first alert came."""
-    return _first_alerts(alerts, attacks).select(
-        "attack_no",
-        "type",
-        "ip",
-        F.col("latency").isNotNull().alias("detected"),
-        (F.col("latency") / events_per_second).alias("first_alert_s"),
-    )
-
-
-def _first_alerts(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
-    """Per attack, the events until its first alert; NULL where it was missed."""
-    # backwards in time, so that the frame grows at one end and each row costs one step
-    later = Window.partitionBy("ip").orderBy(F.desc("pos"), F.desc("is_alert")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    first = F.min(F.when(F.col("is_alert") == 1, F.col("pos"))).over(later)
     return (
         _timeline(alerts, attacks)
-        .withColumn("latency", first - F.col("start_idx"))
-        .filter(F.col("is_alert") == 0)
-        .select("attack_no", "type", "ip", "latency")
+        .filter("NOT is_alert")
+        .select(
+            "attack_no",
+            "type",
+            "ip",
+            F.col("first_latency").isNotNull().alias("detected"),
+            (F.col("first_latency") / events_per_second).alias("first_alert_s"),
+        )
     )
 
 
 def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
-    """Attack starts and alerts of each address; at one position, starts come first."""
+    """Alerts and attack starts per address in order, each knowing what it has to.
+
+    Alerts carry the number of attacks begun and their latencies' sum, attacks the events
+    until the first alert at or after them. Running values are taken within stretches of
+    the position axis and continued from totals per stretch, so that an address alerting
+    all the time is spread over many groups.
+    """
     counted = alerts.groupBy("ip", F.col("idx").alias("pos")).agg(F.count("*").alias("alerts"))
-    starts = attacks.select(
-        "ip", F.col("start_idx").alias("pos"), "attack_no", "type", "start_idx"
-    ).withColumn("is_alert", F.lit(0))
-    return counted.withColumn("is_alert", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    starts = attacks.select("ip", F.col("start_idx").alias("pos"), "attack_no", "type", "start_idx")
+    rows = (
+        counted.withColumn("is_alert", F.lit(True))
+        .unionByName(starts.withColumn("is_alert", F.lit(False)), allowMissingColumns=True)
+        .withColumn("stretch", pane_of(F.col("pos"), STRETCH_EVENTS))
+    )
+    alert_pos = F.when(F.col("is_alert"), F.col("pos"))
+
+    through = (Window.unboundedPreceding, Window.currentRow)
+    before = (Window.unboundedPreceding, -1)
+    totals = rows.groupBy("ip", "stretch").agg(
+        F.count("start_idx").alias("n"),
+        F.sum("start_idx").alias("s"),
+        F.min(alert_pos).alias("a"),
+    )
+    earlier = Window.partitionBy("ip").orderBy("stretch").rowsBetween(*before)
+    later = Window.partitionBy("ip").orderBy(F.desc("stretch")).rowsBetween(*before)
+    carried = totals.select(
+        "ip",
+        "stretch",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier_n"),
+        F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("earlier_s"),
+        F.min("a").over(later).alias("later_a"),
+    )
+    # at one position attacks start before alerts are raised; running backwards as well
+    # keeps every frame growing at one end, one step per row
+    local = Window.partitionBy("ip", "stretch")
+    past = local.orderBy("pos", "is_alert").rowsBetween(*through)
+    future = local.orderBy(F.desc("pos"), F.desc("is_alert")).rowsBetween(*through)
+    attacks_begun = F.col("earlier_n") + F.col("local_n")
+    return (
+        rows.withColumns(
+            {
+                "local_n": F.count("start_idx").over(past),
+                "local_s": F.coalesce(F.sum("start_idx").over(past), F.lit(0)),
+                "local_a": F.min(alert_pos).over(future),
+            }
+        )
+        .join(carried, ["ip", "stretch"])
+        .withColumn("attacks", attacks_begun)
+        .withColumn(
+            "latency_sum",
+            F.col("pos") * F.col("attacks") - F.col("earlier_s") - F.col("local_s"),
+        )
+        .withColumn("first_latency", F.coalesce("local_a", "later_a") - F.col("start_idx"))
+    )
 
 
 def detection_quality(
@@ -168,37 +194,23 @@ def detection_quality(
     repeats included (`no_alert_latency` without any); `mean_first_alert_s` only over
     each attack's first. Recall is per attack, precision per alert.
     """
-    matched = F.when(F.col("attacks") > 0, F.col("alerts")).otherwise(0)
-    per_alert = match_alerts(alerts, attacks).agg(
+    matched = F.when(F.col("is_alert") & (F.col("attacks") > 0), F.col("alerts"))
+    mean_latency = F.try_divide(
+        F.sum(F.col("alerts") * F.col("latency_sum")), F.sum(F.col("alerts") * F.col("attacks"))
+    )
+    figures = _timeline(alerts, attacks).agg(
         F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts"),
         F.coalesce(F.sum(matched), F.lit(0)).alias("matched_alerts"),
-        F.coalesce(
-            F.try_divide(
-                F.sum(F.col("alerts") * F.col("latency_sum")),
-                F.sum(F.col("alerts") * F.col("attacks")),
-            )
-            / events_per_second,
-            F.lit(no_alert_latency),
-        ).alias("mean_latency_s"),
-    )
-    per_attack = _first_alerts(alerts, attacks).agg(
-        F.struct(
-            F.count("*").alias("attacks"),
-            F.count("latency").alias("detected"),
-            (F.avg("latency") / events_per_second).alias("mean_first_alert_s"),
-        )
+        F.coalesce(mean_latency / events_per_second, F.lit(no_alert_latency)).alias("mean_latency_s"),
+        (F.avg("first_latency") / events_per_second).alias("mean_first_alert_s"),
+        F.count("attack_no").alias("attacks"),
+        F.count("first_latency").alias("detected_attacks"),
     )
-    found = F.col("found")
-    return per_alert.withColumn("found", per_attack.scalar()).select(
+    return figures.select(
         F.lit(design).alias("design"),
-        "alerts",
-        "matched_alerts",
-        "mean_latency_s",
-        found["mean_first_alert_s"].alias("mean_first_alert_s"),
-        found["attacks"].alias("attacks"),
-        found["detected"].alias("detected_attacks"),
-        F.try_divide(found["detected"], found["attacks"]).alias("recall"),
-        F.try_divide(F.col("matched_alerts"), F.col("alerts")).alias("precision"),
+        "*",
+        F.try_divide("detected_attacks", "attacks").alias("recall"),
+        F.try_divide("matched_alerts", "alerts").alias("precision"),
     )
 
 

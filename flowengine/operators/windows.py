@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowengine import schema
 from flowengine.functions.scalars import is_auth_port, source_or_unknown
 
+# Panes a group of `windows_from_panes` may span: 1024 slides of 5 s are 85 minutes.
+STRETCH_PANES = 1024
+
 
 def flood_windows(flows: DataFrame, size: int = schema.FLOOD_SECONDS) -> DataFrame:
     """Requests and bytes per source and tumbling window of `size` seconds.
@@ -155,14 +158,25 @@ def windows_from_panes(
 
     Positions may be seconds or event numbers. A port's pane is in the `size / slide`
     windows ending after it; those up to `previous pane + size` already know the port,
-    so it is new to the later ones only and distinct ports become a plain sum. The
-    window function sees at most one row per pane for any (source, port), however many
-    flows are behind it.
+    so it is new to the later ones only and distinct ports become a plain sum.
+
+    The previous pane is looked up within stretches of the position axis, so that even a
+    source and port seen all the time never form one long group. A pane also goes, as
+    context, to the next stretch if that starts less than a window later; a previous
+    pane farther back has no window in common with this one.
     """
-    history = Window.partitionBy("src_ip", "dst_port").orderBy("pane")
-    known_until = F.coalesce(F.lag("pane").over(history) + size, F.col("pane"))
-    in_windows = panes.withColumn("known_until", known_until).select(
-        _window_ends(size, slide).alias("window_end"), "src_ip", "dst_port", "flows", "known_until"
+    stretch = slide * max(STRETCH_PANES, size // slide)
+    pane, own = F.col("pane"), pane_of(F.col("pane"), stretch)
+    stretches = F.sequence(own, pane_of(pane + size - slide, stretch), F.lit(stretch).cast("bigint"))
+    history = Window.partitionBy("src_ip", "dst_port", "stretch").orderBy("pane")
+    known_until = F.coalesce(F.lag("pane").over(history) + size, pane)
+    in_windows = (
+        panes.withColumn("stretch", F.explode(stretches))
+        .withColumn("known_until", known_until)
+        .filter(F.col("stretch") == own)
+        .select(
+            _window_ends(size, slide).alias("window_end"), "src_ip", "dst_port", "flows", "known_until"
+        )
     )
     new_port = F.col("dst_port").isNotNull() & (F.col("window_end") > F.col("known_until"))
     return in_windows.groupBy("window_end", "src_ip").agg(

@@ -18,7 +18,7 @@ from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA
 from flowengine.session import work_path
 from flowengine.sinks import catalog, files
 from flowengine.sources import flows as source
-from flowengine.sources.alerts import read_recent_alerts
+from flowengine.sources.alerts import read_alerts, read_recent_alerts
 from flowengine.streaming import detection as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,11 +166,12 @@ def _ranged_layout(spark, sf):
 
 
 def _update_alert(spark, sf):
-    """B7 on the newest alert, whichever it is at this scale."""
-    found = alerts(spark, sf)
-    full = maintain.conform(found, ALERT_SCHEMA)
-    newest = read_recent_alerts(found, 1).select("alert_id").scalar()
-    return maintain.update_alert(full, newest, RESOLUTION, {"retry_count": 1}).select(
+    """B7 on the newest stored alert, whichever it is at this scale."""
+    path = work_path(spark, "alerts")
+    files.append_rows(alerts(spark, sf), path, ALERT_SCHEMA)
+    stored = read_alerts(spark, path)
+    newest = read_recent_alerts(stored, 1).select("alert_id").scalar()
+    return maintain.update_alert(stored, newest, RESOLUTION, {"retry_count": 1}).select(
         "alert_id", "src_ip", "metric_count", "status", "resolved_at", "resolution_notes", "retry_count"
     )
 

@@ -110,18 +110,35 @@ def test_overlapping_attacks_by_definition(spark, block):
     assert got == want
 
 
-def test_matches_by_definition(spark):
+@pytest.mark.parametrize("stretch", [1, 10, 1 << 16])
+def test_matches_by_definition(spark, monkeypatch, stretch):
+    monkeypatch.setattr(evaluate, "STRETCH_EVENTS", stretch)
     rng = random.Random(3)
     attacks = [(n, "T", rng.choice("ab"), rng.randrange(100), 5) for n in range(30)]
-    alerts = [(rng.randrange(100), rng.choice("abc")) for _ in range(60)]
+    alerts = [(rng.randrange(95), rng.choice("abc")) for _ in range(60)]
+    frames = (
+        spark.createDataFrame(alerts, "idx bigint, ip string"), spark.createDataFrame(attacks, ATTACK_SCHEMA)
+    )
     got = {
-        (r.ip, r.idx): (r.alerts, r.attacks, r.latency_sum)
-        for r in evaluate.match_alerts(
-            spark.createDataFrame(alerts, "idx bigint, ip string"), spark.createDataFrame(attacks, ATTACK_SCHEMA)
-        ).collect()
+        (r.ip, r.idx): (r.alerts, r.attacks, r.latency_sum) for r in evaluate.match_alerts(*frames).collect()
     }
-    want = {}
+    want, latencies = {}, []
     for idx, ip in alerts:
         lat = [idx - s for _, _, a, s, _ in attacks if a == ip and s <= idx]
+        latencies += lat
         want[ip, idx] = (alerts.count((idx, ip)), len(lat), sum(lat))
     assert got == want
+
+    got = {r.attack_no: r.first_alert_s for r in evaluate.attack_detection(*frames, 1.0).collect()}
+    first = {
+        n: min((idx - s for idx, ip in alerts if ip == a and idx >= s), default=None)
+        for n, _, a, s, _ in attacks
+    }
+    assert got == first
+
+    row = evaluate.detection_quality(*frames, "SLIDING", 5.0, 1.0).first()
+    found = [x for x in first.values() if x is not None]
+    assert row.mean_latency_s == pytest.approx(sum(latencies) / len(latencies))
+    assert row.mean_first_alert_s == pytest.approx(sum(found) / len(found))
+    assert (row.alerts, row.attacks, row.detected_attacks) == (60, 30, len(found))
+    assert row.matched_alerts == sum(n for n, k, _ in want.values() if k)

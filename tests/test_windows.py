@@ -123,6 +123,16 @@ def test_panes_equal_window(spark, size, slide):
     assert by_pane.exceptAll(by_row).count() == 0
 
 
+@pytest.mark.parametrize("stretch", [1, 3, 8])
+def test_short_stretches_give_the_same_windows(spark, monkeypatch, stretch):
+    monkeypatch.setattr(windows, "STRETCH_PANES", stretch)
+    frame = flows(spark, scattered(1000))
+    for size, slide in ((30, 5), (10, 10), (60, 10)):
+        by_row = windows.sliding_windows_by_row(frame, size, slide)
+        by_pane = windows.sliding_windows(frame, size, slide)
+        assert by_pane.exceptAll(by_row).count() == by_row.exceptAll(by_pane).count() == 0
+
+
 def test_slide_not_dividing_the_size(spark):
     frame = flows(spark, scattered(500))
     assert windows.sliding_windows(frame, 30, 7).exceptAll(
