@@ -76,7 +76,7 @@ def port_scan_alerts(
     threshold: int = schema.SCAN_THRESHOLD,
 ) -> DataFrame:
     """Sources probing at least `threshold` distinct ports in a sliding window."""
-    windows = W.sliding_windows(flows, size, slide)
+    windows = W.port_windows(flows, size, slide, threshold)
     return raise_alerts(windows, [replace(PORT_SCAN, threshold=threshold)], size)
 
 
@@ -88,7 +88,7 @@ def brute_force_alerts(
     ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
     """T4: sources with at least `threshold` flows to login ports in a sliding window."""
-    windows = W.auth_windows(flows, size, slide, ports)
+    windows = W.auth_windows(flows, size, slide, threshold, ports)
     return raise_alerts(windows, [replace(BRUTE_FORCE, threshold=threshold)], size)
 
 
@@ -100,9 +100,17 @@ def sliding_alerts(
     auth_threshold: int = schema.BRUTE_FORCE_THRESHOLD,
     ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """T3 and T4 from the same windows: one aggregation, or one stream state, for both."""
-    windows = W.sliding_windows(flows, size, slide, ports)
-    return raise_alerts(windows, _sliding_rules(scan_threshold, auth_threshold), size)
+    """T3 and T4. On a stream both rules share one window state; in batch each has its own
+    aggregation, since a scan of a few columns costs less than carrying both metrics."""
+    if not flows.isStreaming:
+        scans = port_scan_alerts(flows, size, slide, scan_threshold)
+        return scans.unionByName(brute_force_alerts(flows, size, slide, auth_threshold, ports))
+    windows = W.sliding_windows_by_row(flows, size, slide, ports)
+    rules = [
+        replace(PORT_SCAN, threshold=scan_threshold),
+        replace(BRUTE_FORCE, threshold=auth_threshold),
+    ]
+    return raise_alerts(windows, rules, size)
 
 
 def all_alerts(
@@ -115,34 +123,13 @@ def all_alerts(
     auth_threshold: int = schema.BRUTE_FORCE_THRESHOLD,
     ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """The alerts of all three rules over a batch of flows.
-
-    Where both windows are whole numbers of slides, all rules share one pane aggregation:
-    the flow table is scanned and shuffled once, and the flood branch reads that shuffle.
-    """
+    """The alerts of all three rules over a batch of flows."""
     if flows.isStreaming:
         raise ValueError("run flood_alerts and sliding_alerts as two streaming queries")
-    if flood_size % slide or size % slide:
-        floods = flood_alerts(flows, flood_size, flood_threshold)
-        sliding = sliding_alerts(flows, size, slide, scan_threshold, auth_threshold, ports)
-        return floods.unionByName(sliding)
-    panes = W.port_panes(flows, slide)
-    floods = raise_alerts(
-        W.flood_from_panes(panes, flood_size), [replace(FLOOD, threshold=flood_threshold)], flood_size
-    )
-    sliding = raise_alerts(
-        W.as_instants(W.windows_from_panes(panes, size, slide, ports), size),
-        _sliding_rules(scan_threshold, auth_threshold),
-        size,
+    floods = flood_alerts(flows, flood_size, flood_threshold)
+    return floods.unionByName(
+        sliding_alerts(flows, size, slide, scan_threshold, auth_threshold, ports)
     )
-    return floods.unionByName(sliding)
-
-
-def _sliding_rules(scan_threshold: int, auth_threshold: int) -> list[Rule]:
-    return [
-        replace(PORT_SCAN, threshold=scan_threshold),
-        replace(BRUTE_FORCE, threshold=auth_threshold),
-    ]
 
 
 def _alert(rule: Rule, size: int) -> list[Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowengine.operators.windows import pane_of, windows_from_panes
+from flowengine.operators.windows import distinct_port_counts, pane_of, row_counts
 
 EVENTS_PER_SECOND = 10.0
 
@@ -79,16 +79,20 @@ def sliding_count_alerts(
     n_events: int | None = None,
 ) -> DataFrame:
     """Every `slide` events over the last `size`, sources with at least `min_ports`
-    distinct ports or `min_events` events. Same pane merge as the time windows."""
-    panes = events.groupBy(
-        pane_of(F.col("i"), slide).alias("pane"),
-        F.col("ip").alias("src_ip"),
-        F.col("port").alias("dst_port"),
-    ).agg(F.count("*").alias("flows"))
-    windows = windows_from_panes(panes, size, slide).withColumnsRenamed(
-        {"src_ip": "ip", "request_count": "events", "distinct_ports": "ports"}
-    )
-    hits = windows.filter((F.col("ports") >= min_ports) | (F.col("events") >= min_events))
+    distinct ports or `min_events` events. Of the two figures, one below its own threshold
+    is NULL. Same window counts as the time windows'."""
+    if size % slide:
+        raise ValueError("size must be a multiple of slide")
+    rows = events.select(
+        F.col("i").alias("position"), F.col("ip").alias("src_ip"), F.col("port").alias("dst_port")
+    )
+    many_ports = distinct_port_counts(rows, size, slide, min_ports)
+    many_events = row_counts(rows, size, slide, min_events)
+    hits = (
+        many_ports.unionByName(many_events, allowMissingColumns=True)
+        .groupBy("window_end", F.col("src_ip").alias("ip"))
+        .agg(F.max("rows").alias("events"), F.max("distinct_ports").alias("ports"))
+    )
     return _closed(hits, events, n_events).select("idx", "ip", "events", "ports")
 
 
@@ -151,8 +155,8 @@ def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("ip").orderBy("stretch").rowsBetween(*before)
     later = Window.partitionBy("ip").orderBy(F.desc("stretch")).rowsBetween(*before)
     carried = totals.select(
-        "ip",
-        "stretch",
+        F.col("ip").alias("total_ip"),
+        F.col("stretch").alias("total_stretch"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier_n"),
         F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("earlier_s"),
         F.min("a").over(later).alias("later_a"),
@@ -163,6 +167,10 @@ def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
     past = local.orderBy("pos", "is_alert").rowsBetween(*through)
     future = local.orderBy(F.desc("pos"), F.desc("is_alert")).rowsBetween(*through)
     attacks_begun = F.col("earlier_n") + F.col("local_n")
+    # null-safe, so that no filter for one side only keeps Spark from sharing the shuffles
+    same = F.col("ip").eqNullSafe(F.col("total_ip")) & F.col("stretch").eqNullSafe(
+        F.col("total_stretch")
+    )
     return (
         rows.withColumns(
             {
@@ -171,7 +179,7 @@ def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
                 "local_a": F.min(alert_pos).over(future),
             }
         )
-        .join(carried, ["ip", "stretch"])
+        .join(carried, same)
         .withColumn("attacks", attacks_begun)
         .withColumn(
             "latency_sum",

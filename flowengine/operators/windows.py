@@ -1,21 +1,29 @@
 """Window metrics per source address.
 
 Windows are event-time, epoch-aligned and half-open: a row exactly at a window's end
-belongs to the next window. Two formulations of the sliding metrics exist. `window()`
-copies every row into each window holding it and works on streams. Panes work on batch
-frames: rows are first reduced to one per (slide-long pane, source, port), and only
-those reduced rows are copied.
+belongs to the next window.
+
+Sliding windows come in three formulations with equal results. `window()` copies every
+row into each window holding it; it is the one for streams. Panes, on batch frames,
+reduce the rows to one per (slide-long pane, source, port) and copy only those; they give
+every metric of every window. Stretches serve rules with a threshold: one row per source
+and stretch of time holds the counts of all windows ending there, side by side, and only
+the windows reaching the threshold ever become rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowengine import schema
 from flowengine.functions.scalars import is_auth_port, source_or_unknown
 
+# Panes per window up to which a stretch's windows are kept side by side: a mask then has
+# at most 47 bits and a stretch 32 counts.
+MASK_PANES = 16
+
 # Panes a group of `windows_from_panes` may span: 1024 slides of 5 s are 85 minutes.
 STRETCH_PANES = 1024
 
@@ -92,37 +100,168 @@ def sliding_windows_by_row(
     )
 
 
+def port_windows(
+    flows: DataFrame,
+    size: int = schema.SLIDING_SECONDS,
+    slide: int = schema.SLIDE_SECONDS,
+    threshold: int = schema.SCAN_THRESHOLD,
+) -> DataFrame:
+    """T3 alone: windows in which a source reached `threshold` distinct ports."""
+    if flows.isStreaming or size % slide:
+        windows = sliding_windows_by_row(flows, size, slide)
+        return windows.filter(F.col("distinct_ports") >= threshold)
+    windows = distinct_port_counts(_positions(flows, "dst_port"), size, slide, threshold)
+    return as_instants(windows, size)
+
+
 def auth_windows(
     flows: DataFrame,
     size: int = schema.SLIDING_SECONDS,
     slide: int = schema.SLIDE_SECONDS,
+    threshold: int = schema.BRUTE_FORCE_THRESHOLD,
     auth_ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """T4 alone: the port filter reaches the scan and no port has to be shuffled."""
+    """T4 alone: windows in which a source reached `threshold` flows to login ports.
+
+    The port filter reaches the scan, and no port has to be shuffled.
+    """
     attempts = flows.filter(is_auth_port(auth_ports))
     if flows.isStreaming or size % slide:
         window = F.window("event_ts", f"{size} seconds", f"{slide} seconds")
-        return (
+        windows = (
             attempts.groupBy(window, source_or_unknown().alias("src_ip"))
             .agg(F.count("*").alias("auth_attempts"))
-            .select(
-                F.col("window.start").alias("window_start"),
-                F.col("window.end").alias("window_end"),
-                "src_ip",
-                "auth_attempts",
-            )
+            .filter(F.col("auth_attempts") >= threshold)
         )
-    panes = attempts.groupBy(
-        pane_of(F.unix_seconds("event_ts"), slide).alias("pane"),
-        source_or_unknown().alias("src_ip"),
-    ).agg(F.count("*").alias("flows"))
-    windows = (
-        panes.filter(F.col("pane").isNotNull())
-        .select(_window_ends(size, slide).alias("window_end"), "src_ip", "flows")
-        .groupBy("window_end", "src_ip")
-        .agg(F.sum("flows").alias("auth_attempts"))
+        return windows.select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "src_ip",
+            "auth_attempts",
+        )
+    windows = row_counts(_positions(attempts), size, slide, threshold)
+    return as_instants(windows.withColumnRenamed("rows", "auth_attempts"), size)
+
+
+def _positions(flows: DataFrame, *columns: str) -> DataFrame:
+    return flows.select(
+        F.unix_seconds("event_ts").alias("position"), source_or_unknown().alias("src_ip"), *columns
+    )
+
+
+def distinct_port_counts(rows: DataFrame, size: int, slide: int, threshold: int) -> DataFrame:
+    """Windows over (position, src_ip, dst_port) with at least `threshold` distinct ports.
+
+    Per (source, port, stretch) the panes with such a row are a bit mask, an aggregate of
+    eight bytes that combines before the shuffle; a window is a run of bits. Positions may
+    be seconds or event numbers.
+    """
+    rows = rows.filter(F.col("dst_port").isNotNull())
+    if size // slide > MASK_PANES:
+        panes = rows.groupBy(
+            pane_of(F.col("position"), slide).alias("pane"), "src_ip", "dst_port"
+        ).agg(F.count("*").alias("flows"))
+        windows = windows_from_panes(panes.filter(F.col("pane").isNotNull()), size, slide)
+        return windows.filter(F.col("distinct_ports") >= threshold).select(
+            "window_end", "src_ip", "distinct_ports"
+        )
+    masks = (
+        _in_stretches(rows, size, slide, "dst_port")
+        .groupBy("src_ip", "dst_port", "stretch")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+    )
+    run = (1 << size // slide) - 1
+    return _windows_of_stretches(
+        masks,
+        lambda window: F.col("mask").bitwiseAND(F.lit(run << window)) != 0,
+        size,
+        slide,
+        threshold,
+        "distinct_ports",
+    )
+
+
+def row_counts(rows: DataFrame, size: int, slide: int, threshold: int) -> DataFrame:
+    """Windows over (position, src_ip) with at least `threshold` rows."""
+    panes = size // slide
+    if panes > MASK_PANES:
+        counted = rows.groupBy(pane_of(F.col("position"), slide).alias("pane"), "src_ip").agg(
+            F.count("*").alias("rows")
+        )
+        return (
+            counted.filter(F.col("pane").isNotNull())
+            .select(_window_ends(size, slide).alias("window_end"), "src_ip", "rows")
+            .groupBy("window_end", "src_ip")
+            .agg(F.sum("rows").alias("rows"))
+            .filter(F.col("rows") >= threshold)
+        )
+    return _windows_of_stretches(
+        _in_stretches(rows, size, slide),
+        lambda window: F.col("bit").between(window, window + panes - 1),
+        size,
+        slide,
+        threshold,
+        "rows",
+    )
+
+
+def _stretch(size: int) -> int:
+    # two window lengths: rows near the end of a stretch, which belong to the next as
+    # well, are then fewer than half, and the counts side by side still few
+    return 2 * size
+
+
+def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> DataFrame:
+    """Rows with each stretch that has windows holding them, and their pane's bit there.
+
+    A stretch has the windows whose last pane it contains. Bit 0 is the first pane of its
+    first window, so window number n is a run of bits from n on.
+    """
+    pane = F.col("pane")
+    reach, stretch = size - slide, _stretch(size)
+    stretches = F.sequence(
+        pane_of(pane, stretch), pane_of(pane + reach, stretch), F.lit(stretch).cast("bigint")
+    )
+    return (
+        rows.filter(F.col("position").isNotNull())
+        .select(pane_of(F.col("position"), slide).alias("pane"), "src_ip", *columns)
+        .select("pane", "src_ip", *columns, F.explode(stretches).alias("stretch"))
+        .select(
+            "src_ip",
+            *columns,
+            "stretch",
+            F.expr(f"int((pane - stretch + {reach}) div {slide})").alias("bit"),
+        )
+    )
+
+
+def _windows_of_stretches(
+    rows: DataFrame,
+    held: Callable[[int], Column],
+    size: int,
+    slide: int,
+    threshold: int,
+    name: str,
+) -> DataFrame:
+    """Count the rows held by each window of a stretch; keep windows at the threshold."""
+    numbers = range(_stretch(size) // slide)
+    counts = rows.groupBy("src_ip", "stretch").agg(
+        *[F.count(F.when(held(n), 1)).alias(f"n{n}") for n in numbers]
+    )
+    windows = F.array(
+        *[
+            F.struct(
+                (F.col("stretch") + (n + 1) * slide).alias("window_end"), F.col(f"n{n}").alias(name)
+            )
+            for n in numbers
+        ]
+    )
+    return (
+        counts.filter(F.greatest(*[f"n{n}" for n in numbers]) >= threshold)
+        .select("src_ip", F.inline(windows))
+        .filter(F.col(name) >= threshold)
+        .select("window_end", "src_ip", name)
     )
-    return as_instants(windows, size)
 
 
 def pane_of(position: Column, slide: int) -> Column:
@@ -140,14 +279,6 @@ def port_panes(flows: DataFrame, slide: int) -> DataFrame:
     )
 
 
-def flood_from_panes(panes: DataFrame, size: int) -> DataFrame:
-    """T1 from `port_panes`, for a window that is a whole number of panes."""
-    windows = panes.groupBy((pane_of(F.col("pane"), size) + size).alias("window_end"), "src_ip").agg(
-        F.sum("flows").alias("request_count")
-    )
-    return as_instants(windows, size)
-
-
 def windows_from_panes(
     panes: DataFrame,
     size: int,

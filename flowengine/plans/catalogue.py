@@ -27,8 +27,8 @@ DAY = 86_400
 FLOOD = {"size": DAY, "threshold": 7}
 SLIDING = {"size": 3 * DAY, "slide": DAY // 2}
 SCAN_THRESHOLD, AUTH_THRESHOLD = 12, 2
-BUCKET = {"size": 1000, "min_events": 12}
-BUFFER = {"size": 1500, "slide": 250, "min_ports": 17, "min_events": 19}
+BUCKET = {"size": 1000, "min_events": 5}
+BUFFER = {"size": 1500, "slide": 250, "min_ports": 6, "min_events": 7}
 SHARDS = 8
 LATENESS = "10 seconds"
 RESOLUTION = {

@@ -80,6 +80,12 @@ def test_false_and_early_alerts(spark, attacks):
     assert got == {"BURST_FLOOD": (True, 1.0), "STEALTH_SCAN": (False, None)}
 
 
+def test_alerts_without_an_address_are_still_alerts(spark, attacks):
+    alerts = spark.createDataFrame([(310, None), (310, "198.51.100.42")], "idx bigint, ip string")
+    row = evaluate.detection_quality(alerts, attacks, "SLIDING", 5.0).first()
+    assert (row.alerts, row.matched_alerts, row.detected_attacks) == (2, 1, 1)
+
+
 def test_last_partial_bucket_is_not_evaluated(spark):
     events = spark.range(199).select(F.col("id").alias("i"), F.lit("a").alias("ip"), F.lit(80).alias("port"))
     assert [r.idx for r in evaluate.tumbling_count_alerts(events).collect()] == [99]

@@ -57,9 +57,21 @@ def test_no_python_no_nested_loops_no_single_partition_windows(spark, name):
         assert "Exchange SinglePartition, ENSURE_REQUIREMENTS" not in text.split("Window [")[1].split("Exchange")[0]
 
 
-def test_all_rules_share_one_scan(spark):
-    text = final_plan(QUERIES["all_alerts"](spark, SF)).split("Initial Plan")[0]
-    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+@pytest.mark.parametrize("name,columns", [
+    ("flood_alerts", "ts:timestamp_ntz,user_id:bigint"),
+    ("port_scan_alerts", "ts:timestamp_ntz,user_id:bigint,props:string"),
+])
+def test_a_rule_reads_its_columns_and_aggregates_before_the_shuffle(spark, name, columns):
+    text = plan(QUERIES[name](spark, SF))
+    assert f"ReadSchema: struct<{columns}>" in text
+    scan_side = text[text.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in scan_side and "ObjectHashAggregate" not in text
+
+
+def test_windows_below_the_threshold_never_become_rows(spark):
+    text = plan(QUERIES["port_scan_alerts"](spark, SF))
+    assert text.count("Exchange") == 2
+    assert text.index("inline(") < text.index("greatest(") < text.index("bit_or(")
 
 
 def test_share_of_total_reads_the_table_once(spark):
@@ -68,13 +80,6 @@ def test_share_of_total_reads_the_table_once(spark):
     assert "ReusedExchange" in text
 
 
-def test_pane_counts_are_combined_before_the_shuffle(spark):
-    text = plan(QUERIES["port_scan_alerts"](spark, SF))
-    scan_side = text[text.rindex("Exchange hashpartitioning"):]
-    assert "HashAggregate" in scan_side
-    assert "collect_set" not in text and "explode" not in scan_side
-
-
 def test_updating_does_not_shuffle(spark, tmp_path):
     from flowengine.operators import maintain
     from flowengine.schema import ALERT_SCHEMA

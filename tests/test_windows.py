@@ -133,6 +133,21 @@ def test_short_stretches_give_the_same_windows(spark, monkeypatch, stretch):
         assert by_pane.exceptAll(by_row).count() == by_row.exceptAll(by_pane).count() == 0
 
 
+@pytest.mark.parametrize("size,slide", [(30, 5), (30, 30), (10, 5), (80, 5), (85, 5), (100, 5)])
+def test_threshold_windows_equal_window(spark, size, slide):
+    """Either side of the longest window kept in a mask."""
+    frame = flows(spark, scattered())
+    every = windows.sliding_windows_by_row(frame, size, slide)
+    borders = ("window_start", "window_end", "src_ip")
+    for threshold in (1, 5, 30):
+        for metric, got in (
+            ("distinct_ports", windows.port_windows(frame, size, slide, threshold)),
+            ("auth_attempts", windows.auth_windows(frame, size, slide, threshold)),
+        ):
+            want = every.filter(F.col(metric) >= threshold).select(*borders, metric)
+            assert sorted(got.select(*borders, metric).collect()) == sorted(want.collect())
+
+
 def test_slide_not_dividing_the_size(spark):
     frame = flows(spark, scattered(500))
     assert windows.sliding_windows(frame, 30, 7).exceptAll(
