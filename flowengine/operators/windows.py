@@ -173,7 +173,7 @@ def distinct_port_counts(rows: DataFrame, size: int, slide: int, threshold: int)
     run = (1 << size // slide) - 1
     return _windows_of_stretches(
         masks,
-        lambda window: F.col("mask").bitwiseAND(F.lit(run << window)) != 0,
+        lambda window: f"(mask & {run << window}L) != 0",
         size,
         slide,
         threshold,
@@ -197,7 +197,7 @@ def row_counts(rows: DataFrame, size: int, slide: int, threshold: int) -> DataFr
         )
     return _windows_of_stretches(
         _in_stretches(rows, size, slide),
-        lambda window: F.col("bit").between(window, window + panes - 1),
+        lambda window: f"bit >= {window} AND bit < {window + panes}",
         size,
         slide,
         threshold,
@@ -237,28 +237,28 @@ def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> Data
 
 def _windows_of_stretches(
     rows: DataFrame,
-    held: Callable[[int], Column],
+    held: Callable[[int], str],
     size: int,
     slide: int,
     threshold: int,
     name: str,
 ) -> DataFrame:
-    """Count the rows held by each window of a stretch; keep windows at the threshold."""
+    """Count the rows held by each window of a stretch; keep windows at the threshold.
+
+    Plain CASE and comparisons: count_if and BETWEEN are rewritten with common expressions,
+    whose planning time multiplies with every further one in the same aggregate.
+    """
     numbers = range(_stretch(size) // slide)
     counts = rows.groupBy("src_ip", "stretch").agg(
-        *[F.count(F.when(held(n), 1)).alias(f"n{n}") for n in numbers]
+        *[F.expr(f"count(CASE WHEN {held(n)} THEN 1 END) AS n{n}") for n in numbers]
     )
-    windows = F.array(
-        *[
-            F.struct(
-                (F.col("stretch") + (n + 1) * slide).alias("window_end"), F.col(f"n{n}").alias(name)
-            )
-            for n in numbers
-        ]
+    most = ", ".join(f"n{n}" for n in numbers)
+    windows = ", ".join(
+        f"struct(stretch + {(n + 1) * slide} AS window_end, n{n} AS {name})" for n in numbers
     )
     return (
-        counts.filter(F.greatest(*[f"n{n}" for n in numbers]) >= threshold)
-        .select("src_ip", F.inline(windows))
+        counts.filter(F.expr(f"greatest({most}) >= {threshold}"))
+        .select("src_ip", F.expr(f"inline(array({windows}))"))
         .filter(F.col(name) >= threshold)
         .select("window_end", "src_ip", name)
     )
@@ -270,11 +270,14 @@ def pane_of(position: Column, slide: int) -> Column:
 
 
 def port_panes(flows: DataFrame, slide: int) -> DataFrame:
-    """Rows per (pane, source, port): the one aggregation over the whole table."""
-    second = F.unix_seconds("event_ts")
+    """Rows per (pane, source, port)."""
     return (
         flows.filter(F.col("event_ts").isNotNull())
-        .groupBy(pane_of(second, slide).alias("pane"), source_or_unknown().alias("src_ip"), "dst_port")
+        .groupBy(
+            pane_of(F.unix_seconds("event_ts"), slide).alias("pane"),
+            source_or_unknown().alias("src_ip"),
+            "dst_port",
+        )
         .agg(F.count("*").alias("flows"))
     )
 

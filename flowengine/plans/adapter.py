@@ -8,45 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowengine.functions.scalars import iso_text
 from flowengine.schema import FLOW_SCHEMA
 
+_FLOW = (
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS timestamp",
+    "concat('192.168.', user_id div 250, '.', user_id % 250) AS src_ip",
+    "concat('10.0.0.', event_id % 4) AS dst_ip",
+    "int(1024 + event_id % 60000) AS src_port",
+    "CASE k WHEN 33 THEN 3306 WHEN 43 THEN 443 ELSE k END AS dst_port",
+    "CASE WHEN event_id % 10 < 7 THEN 'TCP' WHEN event_id % 10 < 9 THEN 'UDP' ELSE 'ICMP' END"
+    " AS protocol",
+    "int(1 + event_id % 50) AS packet_count",
+    "bigint(round(value * 100)) AS byte_count",
+    "value / 100 AS duration",
+    "CASE WHEN event_type IN ('error', 'purchase') THEN 'SYN'"
+    " WHEN event_type = 'signup' THEN 'PSH' ELSE 'ACK' END AS flag",
+    "CASE WHEN event_type = 'error' THEN 'DDoS_FLOOD' WHEN event_type = 'purchase' THEN 'PORT_SCAN'"
+    " WHEN event_type = 'signup' THEN 'BRUTE_FORCE' WHEN k < 10 THEN 'BOTNET' ELSE 'BENIGN' END"
+    " AS label",
+    "timestamp(ts) AS event_ts",
+    "event_id AS i",
+)
+
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow rows with `event_ts` and the event number `i`."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    number, kind = F.col("event_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    digit = number % 10
-    return events.select(
-        iso_text(F.col("ts")).alias("timestamp"),
-        F.concat(
-            F.lit("192.168."),
-            F.expr("string(user_id div 250)"),
-            F.lit("."),
-            F.expr("string(user_id % 250)"),
-        ).alias("src_ip"),
-        F.concat(F.lit("10.0.0."), (number % 4).cast("string")).alias("dst_ip"),
-        (F.lit(1024) + number % 60000).cast("int").alias("src_port"),
-        F.when(k == 33, 3306).when(k == 43, 443).otherwise(k).alias("dst_port"),
-        F.when(digit < 7, "TCP").when(digit < 9, "UDP").otherwise("ICMP").alias("protocol"),
-        (F.lit(1) + number % 50).cast("int").alias("packet_count"),
-        F.round(F.col("value") * 100).cast("bigint").alias("byte_count"),
-        (F.col("value") / 100).alias("duration"),
-        F.when(kind.isin("error", "purchase"), "SYN")
-        .when(kind == "signup", "PSH")
-        .otherwise("ACK")
-        .alias("flag"),
-        F.when(kind == "error", "DDoS_FLOOD")
-        .when(kind == "purchase", "PORT_SCAN")
-        .when(kind == "signup", "BRUTE_FORCE")
-        .when(k < 10, "BOTNET")
-        .otherwise("BENIGN")
-        .alias("label"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        number.alias("i"),
-    )
+    # k in a step of its own is parsed once per row, however many columns use it
+    parsed = events.withColumn("k", F.expr("int(get_json_object(props, '$.k'))"))
+    return parsed.selectExpr(*_FLOW)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
