@@ -56,11 +56,9 @@ def sliding_windows(
     slide: int = schema.SLIDE_SECONDS,
     auth_ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """Requests, distinct ports and auth attempts per source and window.
+    """Requests, distinct ports and auth attempts of every source and window.
 
-    Ports are counted by two chained aggregations, first per port and then per source,
-    so no task ever holds a source's port set: state and shuffle rows are plain counters
-    and a scanning source spreads over the cluster by port. Runs on batch and streams.
+    From panes where that is possible, else through `window()`.
     """
     if not flows.isStreaming and size % slide == 0:
         panes = port_panes(flows, slide)
@@ -74,7 +72,12 @@ def sliding_windows_by_row(
     slide: int = schema.SLIDE_SECONDS,
     auth_ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """The same through `window()`: for streams, and for sizes the slide does not divide."""
+    """The same through `window()`: for streams, and for sizes the slide does not divide.
+
+    Ports are counted by two chained aggregations, first per port and then per source,
+    so no task ever holds a source's port set: state and shuffle rows are plain counters
+    and a scanning source spreads over the cluster by port.
+    """
     per_port = flows.groupBy(
         F.window("event_ts", f"{size} seconds", f"{slide} seconds"),
         source_or_unknown().alias("src_ip"),

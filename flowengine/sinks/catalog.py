@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowengine.schema import FLOW_SCHEMA
 
-_OPTIONS = {"csv": "OPTIONS (header 'true', quote '')"}
+_OPTIONS = {"csv": {"header": "true", "quote": ""}}
 
 
 def register_tables(spark: SparkSession, database: str, tables: dict[str, tuple[str, str]]) -> DataFrame:
     """(re)create external tables {name: (format, path)} and list the database."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FLOW_SCHEMA.fields)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, (fmt, path) in tables.items():
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(
-            f"CREATE TABLE {database}.{name} ({columns}) USING {fmt} {_OPTIONS.get(fmt, '')} "
-            f"LOCATION '{path}'"
+        table = f"{database}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(
+            table, path=path, source=fmt, schema=FLOW_SCHEMA, **_OPTIONS.get(fmt, {})
         )
     return spark.sql(f"SHOW TABLES IN {database}")
 

@@ -1,9 +1,15 @@
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+# Python converts collected timestamps to its own zone
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from flowengine.session import configure  # noqa: E402
