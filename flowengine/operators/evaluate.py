@@ -115,41 +115,42 @@ def attack_detection(
     alerts: DataFrame, attacks: DataFrame, events_per_second: float = EVENTS_PER_SECOND
 ) -> DataFrame:
     """Per attack, whether and after how many seconds its first alert came."""
-    return (
+    first = (
         _timeline(alerts, attacks)
         .filter("NOT is_alert")
-        .select(
-            "attack_no",
-            "type",
-            "ip",
-            F.col("first_latency").isNotNull().alias("detected"),
-            (F.col("first_latency") / events_per_second).alias("first_alert_s"),
-        )
+        .select(F.col("ip").alias("start_ip"), F.col("pos").alias("start_pos"), "first_latency")
+    )
+    same_start = F.col("ip").eqNullSafe(F.col("start_ip")) & (F.col("start_idx") == F.col("start_pos"))
+    return attacks.join(first, same_start).select(
+        "attack_no",
+        "type",
+        "ip",
+        F.col("first_latency").isNotNull().alias("detected"),
+        (F.col("first_latency") / events_per_second).alias("first_alert_s"),
     )
 
 
 def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
-    """Alerts and attack starts per address in order, each knowing what it has to.
+    """Per address and position, the number of alerts or of attack starts, in order.
 
-    Alerts carry the number of attacks begun and their latencies' sum, attacks the events
+    Alerts carry the number of attacks begun and their latencies' sum, starts the events
     until the first alert at or after them. Running values are taken within stretches of
     the position axis and continued from totals per stretch, so that an address alerting
-    all the time is spread over many groups.
+    all the time is spread over many groups, each as long as a stretch at most.
     """
-    counted = alerts.groupBy("ip", F.col("idx").alias("pos")).agg(F.count("*").alias("alerts"))
-    starts = attacks.select("ip", F.col("start_idx").alias("pos"), "attack_no", "type", "start_idx")
     rows = (
-        counted.withColumn("is_alert", F.lit(True))
-        .unionByName(starts.withColumn("is_alert", F.lit(False)), allowMissingColumns=True)
+        _counted(alerts, "idx", "alerts", True)
+        .unionByName(_counted(attacks, "start_idx", "starts", False), allowMissingColumns=True)
         .withColumn("stretch", pane_of(F.col("pos"), STRETCH_EVENTS))
+        .withColumn("start_sum", F.col("starts") * F.col("pos"))
     )
     alert_pos = F.when(F.col("is_alert"), F.col("pos"))
 
     through = (Window.unboundedPreceding, Window.currentRow)
     before = (Window.unboundedPreceding, -1)
     totals = rows.groupBy("ip", "stretch").agg(
-        F.count("start_idx").alias("n"),
-        F.sum("start_idx").alias("s"),
+        F.sum("starts").alias("n"),
+        F.sum("start_sum").alias("s"),
         F.min(alert_pos).alias("a"),
     )
     earlier = Window.partitionBy("ip").orderBy("stretch").rowsBetween(*before)
@@ -166,7 +167,6 @@ def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
     local = Window.partitionBy("ip", "stretch")
     past = local.orderBy("pos", "is_alert").rowsBetween(*through)
     future = local.orderBy(F.desc("pos"), F.desc("is_alert")).rowsBetween(*through)
-    attacks_begun = F.col("earlier_n") + F.col("local_n")
     # null-safe, so that no filter for one side only keeps Spark from sharing the shuffles
     same = F.col("ip").eqNullSafe(F.col("total_ip")) & F.col("stretch").eqNullSafe(
         F.col("total_stretch")
@@ -174,18 +174,29 @@ def _timeline(alerts: DataFrame, attacks: DataFrame) -> DataFrame:
     return (
         rows.withColumns(
             {
-                "local_n": F.count("start_idx").over(past),
-                "local_s": F.coalesce(F.sum("start_idx").over(past), F.lit(0)),
+                "local_n": F.coalesce(F.sum("starts").over(past), F.lit(0)),
+                "local_s": F.coalesce(F.sum("start_sum").over(past), F.lit(0)),
                 "local_a": F.min(alert_pos).over(future),
             }
         )
         .join(carried, same)
-        .withColumn("attacks", attacks_begun)
+        .withColumn("attacks", F.col("earlier_n") + F.col("local_n"))
         .withColumn(
             "latency_sum",
             F.col("pos") * F.col("attacks") - F.col("earlier_s") - F.col("local_s"),
         )
-        .withColumn("first_latency", F.coalesce("local_a", "later_a") - F.col("start_idx"))
+        .withColumn(
+            "first_latency",
+            F.when(~F.col("is_alert"), F.coalesce("local_a", "later_a") - F.col("pos")),
+        )
+    )
+
+
+def _counted(rows: DataFrame, position: str, name: str, is_alert: bool) -> DataFrame:
+    return (
+        rows.groupBy("ip", F.col(position).alias("pos"))
+        .agg(F.count("*").alias(name))
+        .withColumn("is_alert", F.lit(is_alert))
     )
 
 
@@ -202,17 +213,20 @@ def detection_quality(
     repeats included (`no_alert_latency` without any); `mean_first_alert_s` only over
     each attack's first. Recall is per attack, precision per alert.
     """
-    matched = F.when(F.col("is_alert") & (F.col("attacks") > 0), F.col("alerts"))
+    alerts_here, starts_here = F.col("alerts"), F.col("starts")
+    matched = F.when(F.col("attacks") > 0, alerts_here)
+    detected = F.when(F.col("first_latency").isNotNull(), starts_here)
     mean_latency = F.try_divide(
-        F.sum(F.col("alerts") * F.col("latency_sum")), F.sum(F.col("alerts") * F.col("attacks"))
+        F.sum(alerts_here * F.col("latency_sum")), F.sum(alerts_here * F.col("attacks"))
     )
+    mean_first = F.try_divide(F.sum(starts_here * F.col("first_latency")), F.sum(detected))
     figures = _timeline(alerts, attacks).agg(
-        F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts"),
+        F.coalesce(F.sum(alerts_here), F.lit(0)).alias("alerts"),
         F.coalesce(F.sum(matched), F.lit(0)).alias("matched_alerts"),
         F.coalesce(mean_latency / events_per_second, F.lit(no_alert_latency)).alias("mean_latency_s"),
-        (F.avg("first_latency") / events_per_second).alias("mean_first_alert_s"),
-        F.count("attack_no").alias("attacks"),
-        F.count("first_latency").alias("detected_attacks"),
+        (mean_first / events_per_second).alias("mean_first_alert_s"),
+        F.coalesce(F.sum(starts_here), F.lit(0)).alias("attacks"),
+        F.coalesce(F.sum(detected), F.lit(0)).alias("detected_attacks"),
     )
     return figures.select(
         F.lit(design).alias("design"),

@@ -120,7 +120,7 @@ def test_overlapping_attacks_by_definition(spark, block):
 def test_matches_by_definition(spark, monkeypatch, stretch):
     monkeypatch.setattr(evaluate, "STRETCH_EVENTS", stretch)
     rng = random.Random(3)
-    attacks = [(n, "T", rng.choice("ab"), rng.randrange(100), 5) for n in range(30)]
+    attacks = [(n, "T", rng.choice("ab"), rng.randrange(0, 100, 5), 5) for n in range(30)]  # some equal
     alerts = [(rng.randrange(95), rng.choice("abc")) for _ in range(60)]
     frames = (
         spark.createDataFrame(alerts, "idx bigint, ip string"), spark.createDataFrame(attacks, ATTACK_SCHEMA)
