@@ -1,11 +1,13 @@
 """Every named query against its SQL answer in DuckDB, over the driver's tables."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as contract
 from tests.compare import duckdb_rows, spark_rows
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
