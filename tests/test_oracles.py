@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from flowengine.plans import catalogue, oracles
 from tests.compare import duckdb_rows, spark_rows
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalogue.queries(), oracles.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -27,5 +28,10 @@ def test_only_known_queries_lack_sql():
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_contract_registers_all():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
