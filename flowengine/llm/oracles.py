@@ -35,6 +35,118 @@ def _url_filter() -> str:
     """
 
 
+_SPACE = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_LINE_DEDUP = f"""
+    WITH rows AS (
+        SELECT row_number() OVER () AS i, doc_id, text, string_split(text, chr(10)) AS parts
+        FROM documents
+    ),
+    identities AS (
+        SELECT i, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS document
+        FROM rows
+    ),
+    lines AS (
+        SELECT i, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM rows
+        WHERE text IS NOT NULL
+    ),
+    parsed AS (
+        SELECT i, document, place, string_split_regex(
+            regexp_replace(trim(line, {_BLANKS}), '{_WORD}*[0-9]{_WORD}*', '<*>', 'g'),
+            '{_SPACE}+') AS tokens
+        FROM lines JOIN identities USING (i)
+    ),
+    known AS (SELECT *, tokens[1:3] AS start, len(tokens) AS n FROM parsed
+              WHERE len(tokens) >= 3),
+    distinct_lines AS (
+        SELECT DISTINCT n, start, tokens, count(*) OVER (PARTITION BY n, start) AS lines
+        FROM (SELECT DISTINCT n, start, tokens FROM known)
+    ),
+    votes AS (
+        SELECT n, start, lines, place, token, count(*) AS votes
+        FROM (SELECT n, start, lines, unnest(range(n)) AS place, unnest(tokens) AS token
+              FROM distinct_lines WHERE lines > 1)
+        GROUP BY ALL
+    ),
+    fixed AS (SELECT * FROM votes WHERE votes * 2 > lines),
+    agreeing AS (
+        SELECT d.n, d.start, d.tokens, count(*) AS fixed_here,
+               count(*) FILTER (d.tokens[f.place + 1] = f.token) AS agreed
+        FROM distinct_lines d JOIN fixed f USING (n, start) GROUP BY ALL
+    ),
+    covered AS (
+        SELECT n, start, tokens FROM agreeing WHERE fixed_here >= n * 0.8 AND agreed = fixed_here
+    ),
+    templated AS (
+        SELECT k.i, k.document, k.place, k.n, k.start,
+               CASE WHEN c.tokens IS NULL THEN k.tokens END AS own
+        FROM known k LEFT JOIN covered c
+          ON k.n = c.n AND k.start = c.start AND k.tokens = c.tokens
+    ),
+    recurring AS (
+        SELECT n, start, own, min(document) AS first FROM templated
+        GROUP BY n, start, own HAVING count(DISTINCT document) >= 2
+    ),
+    dropped AS (
+        SELECT t.i, list(t.place) AS gone FROM templated t JOIN recurring r
+          ON t.n = r.n AND t.start = r.start AND t.own IS NOT DISTINCT FROM r.own
+        WHERE t.document <> r.first GROUP BY t.i
+    )
+    SELECT doc_id,
+           CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+               list_filter(parts, lambda part, k: NOT list_contains(gone, k - 1)), chr(10))
+           END AS text,
+           CASE WHEN text IS NULL THEN 0 ELSE len(parts) END AS n_lines,
+           coalesce(len(gone), 0) AS n_dropped
+    FROM rows LEFT JOIN dropped USING (i)
+"""
+
+_SOURCE_MIXING = f"""
+    WITH sized AS (
+        SELECT row_number() OVER () AS i, doc_id, source,
+               len(regexp_extract_all(coalesce(text, ''), '{_WORD}+')) AS size,
+               md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS mark
+        FROM documents
+    ),
+    sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+               [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+               row_number() OVER (ORDER BY source NULLS LAST) AS no
+        FROM sized GROUP BY source
+    ),
+    levels AS (
+        SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+                   - coalesce(sum(2 * source_size) OVER (filling ROWS BETWEEN UNBOUNDED PRECEDING
+                                                         AND 1 PRECEDING), 0))
+                  / sum(weight) OVER (filling ROWS BETWEEN CURRENT ROW
+                                      AND UNBOUNDED FOLLOWING) AS level
+        FROM sources WINDOW filling AS (ORDER BY source_size / weight, no)
+    ),
+    targets AS (
+        SELECT source, source_size,
+               least((2 * source_size)::DOUBLE, max(level) OVER () * weight) AS target
+        FROM levels
+    ),
+    placed AS (
+        SELECT s.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+               coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY mark, size, s.doc_id, i
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS start
+        FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+           (greatest(least(quota - start, size), 0)
+            + greatest(least(quota - source_size - start, size), 0))::BIGINT AS taken
+    FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
-    return {"op8_url_filter": _url_filter()}
+    return {
+        "op3_line_dedup": _LINE_DEDUP,
+        "op4_source_mixing": _SOURCE_MIXING,
+        "op8_url_filter": _url_filter(),
+    }

@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowengine.llm import bpe, language_id, simhash, token_counts, url_filter
+from flowengine.llm import (
+    bpe,
+    language_id,
+    line_templates,
+    simhash,
+    source_mixing,
+    token_counts,
+    url_filter,
+)
 from flowengine.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +36,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    _, shares = source_mixing.mix(table(spark, sf_dir, "documents"))
+    return shares.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -72,6 +92,8 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each callable takes (spark, sf_dir) and returns a DataFrame."""
     return {
+        "op3_line_dedup": op3_line_dedup,
+        "op4_source_mixing": op4_source_mixing,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
         "op8_url_filter": op8_url_filter,
