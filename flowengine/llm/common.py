@@ -40,9 +40,9 @@ def materialised(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def map_batches(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """`mapInArrow` with a function that uses this package, which is sent to the executors."""
-    context = frame.sparkSession.sparkContext
+def send_package(spark: SparkSession) -> None:
+    """Have the executors import this package, which their Python may not have installed."""
+    context = spark.sparkContext
     if context.applicationId not in _sent:
         package = Path(__file__).parents[1]
         archive = Path(tempfile.mkdtemp(prefix="flowengine-")) / "flowengine.zip"
@@ -51,6 +51,11 @@ def map_batches(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
                 file.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _sent.add(context.applicationId)
+
+
+def map_batches(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """`mapInArrow` with a function that uses this package."""
+    send_package(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 

@@ -35,6 +35,56 @@ def _url_filter() -> str:
     """
 
 
+_USABLE = """
+    embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+_EXACT_TOPK = f"""
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}
+    ),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.v, c.v))::BIGINT AS score
+        FROM whole q JOIN whole c
+          ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        GROUP BY ALL
+    )
+    SELECT query_id,
+           (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER
+           AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 10
+"""
+
+_EMBEDDING_NEAR_DEDUP = f"""
+    WITH RECURSIVE rows AS (
+        SELECT row_number() OVER () AS i, vec_id, label, embedding::DOUBLE[] AS v,
+               vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE} AS able
+        FROM embeddings
+    ),
+    links AS (
+        SELECT a.i AS a, b.i AS b FROM rows a JOIN rows b
+          ON a.able AND b.able AND a.label = b.label AND a.i <> b.i AND len(a.v) = len(b.v)
+         AND list_dot_product(a.v, b.v) >= 0.93 * sqrt(list_dot_product(a.v, a.v))
+                                                * sqrt(list_dot_product(b.v, b.v))
+        WHERE list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0
+    ),
+    reached AS (
+        SELECT i AS start, i FROM rows
+        UNION
+        SELECT r.start, l.b FROM reached r JOIN links l ON r.i = l.a
+    ),
+    lowest AS (
+        SELECT start, min(vec_id) AS component_id
+        FROM reached JOIN rows USING (i) GROUP BY start
+    ),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id,
+           vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM rows JOIN lowest ON rows.i = lowest.start LEFT JOIN counted ON counted.a = rows.i
+"""
+
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -146,6 +196,8 @@ _SOURCE_MIXING = f"""
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
     return {
+        "op1_exact_topk": _EXACT_TOPK,
+        "op2_embedding_near_dedup": _EMBEDDING_NEAR_DEDUP,
         "op3_line_dedup": _LINE_DEDUP,
         "op4_source_mixing": _SOURCE_MIXING,
         "op8_url_filter": _url_filter(),

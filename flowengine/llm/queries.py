@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from flowengine.llm import (
     bpe,
+    cap_filters,
+    exact_topk,
     language_id,
     line_templates,
     simhash,
@@ -36,6 +38,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of recurring templates."""
     kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
@@ -92,6 +105,8 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each callable takes (spark, sf_dir) and returns a DataFrame."""
     return {
+        "op1_exact_topk": op1_exact_topk,
+        "op2_embedding_near_dedup": op2_embedding_near_dedup,
         "op3_line_dedup": op3_line_dedup,
         "op4_source_mixing": op4_source_mixing,
         "op5_token_counts": op5_token_counts,
