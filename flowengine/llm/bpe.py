@@ -182,3 +182,12 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids")
     return map_batches(rows, run, "doc_id long, ids binary, text string")
+
+
+def digests(decoded: DataFrame) -> DataFrame:
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) of rows with ids and their text."""
+    return decoded.select(
+        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )

@@ -193,6 +193,92 @@ _SOURCE_MIXING = f"""
 """
 
 
+def _weight(deviations: str, groups: str, rows: str) -> str:
+    between = (f"(({deviations}) / greatest({groups} - 1, 1) - max(good) * (1 - max(good)))"
+               f" * {groups} / {rows}")
+    return (f"least(greatest(CASE WHEN {between} > 0 THEN max(good) * (1 - max(good))"
+            f" / ({between}) - 1 ELSE 1e6 END, 1.0), 1e6)::DOUBLE")
+
+
+_QUALITY = f"""
+    WITH texts AS (
+        SELECT doc_id, source AS host, lang AS path, coalesce(text, '') AS text,
+               string_split_regex(trim(coalesce(text, ''), {_BLANKS}), '{_SPACE}+') AS tokens
+        FROM documents
+    ),
+    rows AS (
+        SELECT row_number() OVER () AS i, doc_id, host, path,
+               [length(regexp_replace(text, '[^A-Z]+', '', 'g')) * 16
+                / greatest(length(text), 1)::DOUBLE,
+                length(regexp_replace(text, '[^!-+\\-/:-@\\[-`{{-~]+', '', 'g')) * 8
+                / len(tokens)::DOUBLE,
+                length(text) / len(tokens)::DOUBLE,
+                len(list_distinct(tokens)) * 16 / len(tokens)::DOUBLE] AS shares
+        FROM texts
+    ),
+    binned AS (
+        SELECT i, unnest(range(4)) AS feature,
+               least(floor(unnest(shares)), 15)::INTEGER AS bin FROM rows
+    ),
+    labelled AS (
+        SELECT i, host, path, good FROM rows
+        JOIN (SELECT DISTINCT doc_id, quality AS good FROM labels
+              WHERE doc_id IS NOT NULL AND quality IS NOT NULL) USING (doc_id)
+    ),
+    totals AS (SELECT coalesce(sum(good), 0) AS goods, coalesce(sum(1 - good), 0) AS bads
+               FROM labelled),
+    counts AS (SELECT feature, bin, sum(good) AS k, sum(1 - good) AS m
+               FROM labelled JOIN binned USING (i) GROUP BY ALL),
+    evidences AS (
+        SELECT i, sum(ln((coalesce(k, 0) + 1) / (goods + 16)::DOUBLE)
+                      - ln((coalesce(m, 0) + 1) / (bads + 16)::DOUBLE)) AS evidence
+        FROM binned LEFT JOIN counts USING (feature, bin) CROSS JOIN totals GROUP BY i
+    ),
+    paths AS (SELECT host, path, count(*) AS n, sum(good) AS k FROM labelled GROUP BY ALL),
+    hosts AS (SELECT host, sum(n) AS host_n, sum(k) AS host_k FROM paths GROUP BY ALL),
+    everything AS (SELECT sum(host_n) AS all_n, count(*) AS hosts,
+                          (sum(host_k) + 1) / (sum(host_n) + 2)::DOUBLE AS good FROM hosts),
+    spread AS (
+        SELECT {_weight('sum(host_n * (host_k / host_n::DOUBLE - good) ** 2)',
+                        'max(hosts)', 'max(all_n)')} AS host_weight
+        FROM hosts CROSS JOIN everything
+    ),
+    of_hosts AS (
+        SELECT host, good,
+               (host_k + host_weight * good) / (host_n + host_weight) AS host_prior
+        FROM hosts CROSS JOIN everything CROSS JOIN spread
+    ),
+    placed AS (
+        SELECT p.*, good, host_prior FROM paths p JOIN of_hosts h
+          ON p.host IS NOT DISTINCT FROM h.host
+    ),
+    path_spread AS (
+        SELECT {_weight('sum(n * (k / n::DOUBLE - host_prior) ** 2)', 'count(*)', 'sum(n)')}
+               AS path_weight FROM placed
+    ),
+    of_paths AS (
+        SELECT host, path, (k + path_weight * host_prior) / (n + path_weight) AS path_prior
+        FROM placed CROSS JOIN path_spread
+    ),
+    scored AS (
+        SELECT r.doc_id, r.host, r.path, evidence,
+               coalesce(path_prior, host_prior, e.good, 0.5) AS prior
+        FROM rows r JOIN evidences USING (i)
+        LEFT JOIN of_paths p ON r.host IS NOT DISTINCT FROM p.host
+                            AND r.path IS NOT DISTINCT FROM p.path
+        LEFT JOIN of_hosts h ON r.host IS NOT DISTINCT FROM h.host
+        CROSS JOIN everything e
+    ),
+    judged AS (
+        SELECT *, round(1 / (1 + exp(-(ln(prior / (1 - prior)) + evidence))), 6) AS quality
+        FROM scored
+    )
+    SELECT doc_id, host, path, round(evidence, 6) AS evidence, round(prior, 6) AS prior, quality,
+           quality >= 0.5 AS kept
+    FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
     return {
@@ -200,5 +286,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_near_dedup": _EMBEDDING_NEAR_DEDUP,
         "op3_line_dedup": _LINE_DEDUP,
         "op4_source_mixing": _SOURCE_MIXING,
+        "op7_quality": _QUALITY,
         "op8_url_filter": _url_filter(),
     }

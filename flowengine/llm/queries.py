@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from flowengine.llm import (
     exact_topk,
     language_id,
     line_templates,
+    quality,
     simhash,
     source_mixing,
     token_counts,
@@ -75,6 +77,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document: its source is the host, its language the path."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path")
+    )
+    return quality.score(documents, table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule and verdict for every page's URL."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -94,12 +104,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
-    return bpe.decode(encoded, tokenizer_path()).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(bpe.decode(encoded, tokenizer_path())).drop("ids")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -111,7 +116,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mixing": op4_source_mixing,
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
+        "op7_quality": op7_quality,
         "op8_url_filter": op8_url_filter,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
+        "pipeline": corpus_pipeline.run,
     }

@@ -50,17 +50,21 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint) of every document's whole text; a null text has no words."""
+    """(doc_id, text_key, fingerprint) of every document's whole text; a null text has no words.
+    `text_key` is a hash of the text, which tells rows with the same id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
+            marks = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(marks, pa.int64())], ["doc_id", "fingerprint"]
+                [batch.column(0), batch.column(1), pa.array(marks, pa.int64())],
+                ["doc_id", "text_key", "fingerprint"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, run, "doc_id long, fingerprint long")
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
+    )
+    return map_batches(rows, run, "doc_id long, text_key long, fingerprint long")
 
 
 def gray_rank(mark: Column) -> Column:
@@ -233,10 +237,11 @@ def _forest(one: np.ndarray, other: np.ndarray, distance: int) -> np.ndarray:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document.
+    """(doc_id, text_key, fingerprint, component_id, group) of every document.
 
     Two documents link if their fingerprints differ in at most `distance` bits; a component is
-    what links reach, and its id is its smallest doc_id. Equal fingerprints are one entry of the
+    what links reach, its id is its smallest doc_id, and `group` numbers it even where ids repeat.
+    Equal fingerprints are one entry of the
     index, so thousands of copies are one comparison; between different ones links are found leaf
     by leaf and only a spanning forest of each pair of leaves is kept.
 
@@ -254,7 +259,30 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 2) -
         "mark", "first_doc", F.coalesce("root", "mark").alias("root")
     )
     smallest = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    of_mark = placed.join(smallest, "root").select("mark", "component_id")
+    of_mark = placed.join(smallest, "root").select(
+        "mark", "component_id", F.col("root").alias("group")
+    )
     return marked.join(of_mark, marked["fingerprint"] == of_mark["mark"]).select(
-        "doc_id", "fingerprint", "component_id"
+        "doc_id", "text_key", "fingerprint", "component_id", "group"
+    )
+
+
+def keep_one(documents: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """(doc_id, text, lang, source, n_chars): one document of each group of near-duplicates, the
+    one with the smallest id (null last; of equal ids that with the smallest hash of its text).
+    Rows with equal id and text are one document; of differing lang, source or n_chars the
+    smallest combination stays."""
+    found = near_duplicates(documents, shingle, distance)
+    identity = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_key")
+    first = found.groupBy("group").agg(F.min(identity).alias("first")).select(
+        F.col("first.doc_id").alias("its_id"), F.col("first.text_key").alias("its_key")
+    )
+    once = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+        F.struct("lang", "source", F.col("n_chars").cast("long").alias("n_chars"), "text")
+        .alias("row"),
+    ).groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_key") == F.col("its_key"))
+    return once.join(first, same, "left_semi").select(
+        "doc_id", "row.text", "row.lang", "row.source", "row.n_chars"
     )
