@@ -22,8 +22,8 @@ SPLIT_RULE = (
 )
 #: Texts are encoded in parts of about so many characters.
 WINDOW_CHARS = 1 << 20
-#: Ids of at most so many short words are remembered by a Python worker, in each of two tables.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 48
+#: Ids of short words and pieces that a Python worker remembers, about 200 bytes each.
+WORDS, PIECES, REMEMBERED_CHARS = 1 << 17, 1 << 16, 32
 _DEAD = -1
 _PLACE_BITS = 40
 _PLACES = (1 << _PLACE_BITS) - 1
@@ -70,11 +70,11 @@ class Model:
         self.added_rule = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.words = regex.compile(SPLIT_RULE).findall
         self.word_ids = Remembered(
-            lambda word: _packed(self.merge(word.encode())), REMEMBERED, REMEMBERED_CHARS
+            lambda word: _packed(self.merge(word.encode())), WORDS, REMEMBERED_CHARS
         )
         self.piece_ids = Remembered(
             lambda piece: b"".join(map(self.word_ids.__getitem__, self.words(piece))),
-            REMEMBERED, REMEMBERED_CHARS,
+            PIECES, REMEMBERED_CHARS,
         )
 
     def merge(self, word: bytes) -> list[int]:

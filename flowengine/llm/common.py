@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from flowengine.session import work_path
@@ -22,6 +23,9 @@ _PIECES = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 
 _sent: set[str] = set()
 
+#: Bytes that a function sees at a time, if no row has more.
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -54,9 +58,18 @@ def send_package(spark: SparkSession) -> None:
 
 
 def map_batches(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """`mapInArrow` with a function that uses this package."""
+    """`mapInArrow` with a function that uses this package and sees batches of bounded size."""
     send_package(frame.sparkSession)
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(lambda batches: run(_cut(batches)), schema)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `BATCH_BYTES`; a longer row is a slice of its own."""
+    for batch in batches:
+        parts = max(1, min(batch.num_rows, -(-batch.nbytes // BATCH_BYTES)))
+        rows = -(-batch.num_rows // parts)
+        for at in range(0, max(batch.num_rows, 1), max(rows, 1)):
+            yield batch.slice(at, rows)
 
 
 def windows(text: str, size: int) -> Iterator[str]:

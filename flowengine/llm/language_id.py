@@ -21,7 +21,7 @@ UNDETERMINED = "und"
 #: Characters of a text whose n-grams are counted at a time.
 WINDOW_CHARS = 1 << 20
 #: (n-gram, count) pairs that a task adds up before it hands them on.
-PENDING = 1 << 20
+PENDING = 1 << 18
 _BITS = 21
 
 _tables: list[np.ndarray] = []

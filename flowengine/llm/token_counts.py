@@ -15,7 +15,7 @@ WINDOW_CHARS = 1 << 20
 #: One call of the encoder gets about so many characters.
 BATCH_CHARS = 1 << 20
 #: Lengths of at most so many short pieces are remembered by a Python worker.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 48
+REMEMBERED, REMEMBERED_CHARS = 1 << 17, 32
 
 _counters: dict[str, "_Counter"] = {}
 
