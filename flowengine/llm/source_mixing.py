@@ -28,9 +28,7 @@ _ROW = ["doc_id", "text_key", "lang", "source", "n_chars"]
 
 def words(text: Column) -> Column:
     """The number of runs of anything but ASCII white space; 0 for null."""
-    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
-    counted = F.size(F.split(trimmed, f"[{SPACE_CLASS}]+"))
-    return F.when(F.coalesce(trimmed, F.lit("")) == "", 0).otherwise(counted).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE_CLASS}]+")), F.lit(0)).cast("long")
 
 
 def targets(sized: DataFrame) -> DataFrame:
