@@ -45,8 +45,9 @@ def iso_text(instant: Column) -> Column:
 
 
 def event_time() -> Column:
-    """The timestamp text as an instant; NULL where it does not parse."""
-    return F.try_to_timestamp(F.col("timestamp"), F.lit(schema.TIMESTAMP_FORMAT))
+    """The timestamp text as an instant, with or without fraction and offset; NULL where it
+    does not parse (`sources.flows.rejected_flows` counts those)."""
+    return F.try_to_timestamp(F.col("timestamp"), F.lit(schema.TIMESTAMP_FORMS))
 
 
 def alert_id(tag: str, window_end: Column, source: Column) -> Column:

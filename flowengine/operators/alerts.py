@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from flowengine import schema
 from flowengine.functions.scalars import severity_badge
 from flowengine.sources.alerts import read_recent_alerts
 
@@ -46,8 +45,10 @@ def top_attackers(alerts: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def alert_statistics(alerts: DataFrame, limit: int = schema.ALERTS_KEPT) -> DataFrame:
-    """Total, per type and per source over the newest `limit` alerts, in one pass.
+def alert_statistics(alerts: DataFrame) -> DataFrame:
+    """Total, per type and per source over all alerts, in one pass.
+
+    Counted per (type, source) first, so each alert is one row of the shuffle at most.
 
     Rows are (dimension, value, count), with dimension total, attack_type or src_ip. The
     total is there, as 0, for an empty store too.
@@ -59,32 +60,28 @@ def alert_statistics(alerts: DataFrame, limit: int = schema.ALERTS_KEPT) -> Data
             for c in ("attack_type", "src_ip")
         ],
     )
-    counted = read_recent_alerts(alerts, limit).select(F.inline(entries)).withColumn("n", F.lit(1))
+    grouped = alerts.groupBy("attack_type", "src_ip").agg(F.count("*").alias("n"))
+    counted = grouped.select(F.inline(entries), "n")
     no_alert = alerts.sparkSession.range(1).select(
-        F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value"), F.lit(0).alias("n")
+        F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("value"), F.lit(0).cast("bigint").alias("n")
     )
     return (
         counted.unionByName(no_alert).groupBy("dimension", "value").agg(F.sum("n").alias("count"))
     )
 
 
-def alert_type_series(alerts: DataFrame, limit: int = schema.ALERTS_KEPT) -> DataFrame:
-    """Alerts per type among the newest `limit`, for a bar chart."""
-    recent = read_recent_alerts(alerts, limit)
-    return recent.groupBy(
+def alert_type_series(alerts: DataFrame) -> DataFrame:
+    """Alerts per type, for a bar chart."""
+    return alerts.groupBy(
         F.coalesce(F.col("attack_type"), F.lit("UNKNOWN")).alias("Attack Type")
     ).agg(F.count("*").alias("Alert Count"))
 
 
-def alert_kpis(
-    alerts: DataFrame, limit: int = schema.ALERTS_KEPT, recent: int = 50
-) -> DataFrame:
-    """Headline counts over the newest `limit` alerts; a type without any is 0."""
+def alert_kpis(alerts: DataFrame) -> DataFrame:
+    """Headline counts over all alerts; a type without any is 0."""
     kind = F.col("attack_type")
-    total = F.count("*")
-    return read_recent_alerts(alerts, limit).agg(
-        total.alias("total_alerts"),
-        F.least(total, F.lit(recent)).alias("recent_alerts"),
+    return alerts.agg(
+        F.count("*").alias("total_alerts"),
         F.count_if(kind == "DDoS_FLOOD").alias("ddos_floods"),
         F.count_if(kind == "PORT_SCAN").alias("port_scans"),
         F.count_if(kind == "BRUTE_FORCE").alias("brute_force"),
@@ -92,7 +89,7 @@ def alert_kpis(
 
 
 def alert_display(alerts: DataFrame, n: int = 15) -> DataFrame:
-    """The newest n alerts under their display names."""
+    """The newest n alerts under their display names, which are fixed values."""
     return read_recent_alerts(alerts, n).select(
         F.col("timestamp").alias("Time"),
         F.col("src_ip").alias("Attacker IP"),

@@ -16,46 +16,85 @@ EVENTS_PER_SECOND = 10.0
 STRETCH_EVENTS = 1 << 16
 
 
-def label_events(events: DataFrame, attacks: DataFrame, block: int = 256) -> DataFrame:
+def label_events(events: DataFrame, attacks: DataFrame, block_bits: int = 8) -> DataFrame:
     """Each event with the first attack in list order whose interval holds it.
 
-    Intervals are cut at the borders of `block` events, so the join is an equi-join on
-    the block and Spark picks broadcast or shuffle by the measured size of the attacks.
-    Attacks covering the same piece of a block are merged beforehand into the first of
-    them: any number of attacks spanning a whole block leaves one row, and an event meets
-    only that row and the attacks that start or end inside its own block.
+    An interval is cut into aligned pieces whose lengths are powers of two: at most two of each
+    length, so their number grows with the logarithm of the interval's. Attacks with the same
+    piece are merged into the first of them. Blocks of 2^`block_bits` events look up the larger
+    pieces above them and gather the smaller ones within; an event then joins one block's row.
     """
-    i, end = F.col("i"), F.col("start_idx") + F.col("duration")
-    blocks = F.sequence(
-        pane_of(F.col("start_idx"), block), pane_of(end - 1, block), F.lit(block).cast("bigint")
-    )
-    pieces = (
-        attacks.filter(F.col("duration") > 0)
-        .select("attack_no", "start_idx", end.alias("end_idx"), F.explode(blocks).alias("block"))
-        .groupBy(
+    block = F.shiftright("i", block_bits)
+    owner = F.min(F.struct("attack_no", "type")).alias("owner")
+    pieces = _aligned_pieces(attacks).groupBy("level", "piece").agg(owner)
+    small = pieces.filter(F.col("level") < block_bits).select(
+        F.expr(f"shiftright(piece, {block_bits} - level)").alias("block"),
+        F.expr("shiftleft(piece, level)").alias("lo"),
+        F.expr("shiftleft(piece + 1, level)").alias("hi"),
+        "owner",
+    )
+    highest = pieces.select(F.max("level")).scalar()
+    levels = F.sequence(F.lit(block_bits), F.greatest(highest, F.lit(block_bits)))
+    above = (
+        events.select(block.alias("block")).distinct()
+        .select("block", F.explode(levels).alias("level"))
+        .withColumn("piece", F.expr(f"shiftright(block, level - {block_bits})"))
+        .join(pieces, ["level", "piece"])
+        .groupBy("block")
+        .agg(F.min("owner").alias("owner"))
+        .select(
             "block",
-            F.greatest("start_idx", "block").alias("lo"),
-            F.least("end_idx", F.col("block") + block).alias("hi"),
+            F.shiftleft("block", block_bits).alias("lo"),
+            F.shiftleft(F.col("block") + 1, block_bits).alias("hi"),
+            "owner",
         )
-        .agg(F.min("attack_no").alias("attack_no"))
     )
-    owners = (
-        events.select("i", pane_of(i, block).alias("block"))
-        .join(pieces, "block")
-        .filter((i >= F.col("lo")) & (i < F.col("hi")))
-        .groupBy("i")
-        .agg(F.min("attack_no").alias("attack_no"))
+    # merged pieces within a block are fewer than twice its events
+    blocks = (
+        small.unionByName(above).groupBy(F.col("block").alias("its_block"))
+        .agg(F.collect_list(F.struct("lo", "hi", "owner")).alias("pieces"))
     )
-    kinds = attacks.select("attack_no", F.col("type").alias("attack_type"))
+    holding = F.filter(
+        "pieces", lambda p: (p["lo"] <= F.col("i")) & (F.col("i") < p["hi"])
+    )
+    owned = F.array_min(F.transform(holding, lambda p: p["owner"]))
     return (
-        events.join(owners, "i", "left")
-        .join(kinds, "attack_no", "left")
+        events.withColumn("its_block", block)
+        .join(blocks, "its_block", "left")
+        .withColumn("owner", owned)
         .select(
-            *events.columns, "attack_no", "attack_type", F.col("attack_no").isNotNull().alias("is_anomaly")
+            *events.columns,
+            F.col("owner.attack_no").alias("attack_no"),
+            F.col("owner.type").alias("attack_type"),
+            F.col("owner").isNotNull().alias("is_anomaly"),
         )
     )
 
 
+def _aligned_pieces(attacks: DataFrame) -> DataFrame:
+    """(attack_no, type, level, piece): piece p of a level covers the events from p * 2^level to
+    (p + 1) * 2^level. On each level the interval has a piece of its own on the left if its first
+    whole piece there is odd, and on the right if the one behind its last is."""
+    end = F.col("start_idx") + F.col("duration")
+    top = F.floor(F.log2(F.col("duration"))).cast("int") + 1
+    by_level = attacks.filter("duration > 0").select(
+        "attack_no", "type", "start_idx", end.alias("end_idx"),
+        F.explode(F.sequence(F.lit(0), top)).alias("level"),
+    )
+    ranged = by_level.select(
+        "attack_no", "type", "level",
+        F.expr("-shiftright(-start_idx, level)").alias("first"),
+        F.expr("shiftright(end_idx, level)").alias("behind"),
+    ).filter("first < behind")
+    odd = F.array(
+        F.when(F.col("first") % 2 != 0, F.col("first")),
+        F.when(F.col("behind") % 2 != 0, F.col("behind") - 1),
+    )
+    return ranged.select(
+        "attack_no", "type", "level", F.explode(F.array_compact(odd)).alias("piece")
+    )
+
+
 def tumbling_count_alerts(
     events: DataFrame, size: int = 100, min_events: int = 25, n_events: int | None = None
 ) -> DataFrame:
@@ -97,7 +136,7 @@ def sliding_count_alerts(
 
 
 def _closed(hits: DataFrame, events: DataFrame, n_events: int | None) -> DataFrame:
-    last = F.lit(n_events - 1) if n_events else events.select(F.max("i")).scalar()
+    last = F.lit(n_events - 1) if n_events is not None else events.select(F.max("i")).scalar()
     return hits.withColumn("idx", F.col("window_end") - 1).filter(F.col("idx") <= last)
 
 

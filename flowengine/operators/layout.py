@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shard_of(key: str, shards: int) -> Column:
-    """The shard of a key: the hash Spark's own partitioner uses."""
-    return F.pmod(F.hash(key), F.lit(shards))
+    """The shard of a key: the first 8 hexadecimal digits of its MD5, modulo the shards. Any
+    engine can compute it; rows without a key are in shard 0."""
+    return digest_shard(F.col(key), shards)
+
+
+def digest_shard(value: Column, shards: int) -> Column:
+    digits = F.substring(F.md5(value.cast("binary")), 1, 8)
+    return F.coalesce(F.conv(digits, 16, 10).cast("bigint") % shards, F.lit(0)).cast("int")
 
 
 def layout_report(rows: DataFrame, shard: Column, shards: int | None = None) -> DataFrame:

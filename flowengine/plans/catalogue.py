@@ -7,6 +7,7 @@ thresholds are ordinary parameters of the operators.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,12 +15,13 @@ from flowengine.functions.scalars import iso_text
 from flowengine.operators import alerts as A
 from flowengine.operators import counts, detect, evaluate, layout, maintain, traffic, windows
 from flowengine.plans import adapter
-from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA
+from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA, TIMESTAMP_FORMAT
 from flowengine.session import work_path
 from flowengine.sinks import catalog, files
 from flowengine.sources import flows as source
 from flowengine.sources.alerts import read_alerts, read_recent_alerts
 from flowengine.streaming import detection as streaming
+from flowengine.streaming.detection import LATENESS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +32,11 @@ SCAN_THRESHOLD, AUTH_THRESHOLD = 12, 2
 BUCKET = {"size": 1000, "min_events": 5}
 BUFFER = {"size": 1500, "slide": 250, "min_ports": 6, "min_events": 7}
 SHARDS = 8
-LATENESS = "10 seconds"
+RETAINED = 100
 RESOLUTION = {
     "status": "RESOLVED",
     "resolved_at": "2024-02-01T00:00:00",
-    "resolution_notes": "Firewall rule created",
+    "resolution_notes": "source blocked at the edge",
 }
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -132,13 +134,94 @@ def _append_alerts(spark, sf):
 
 
 def _register_tables(spark, sf):
-    """The flow table under SQL, queried there."""
-    path = work_path(spark, "flows-table")
-    files.convert_flows(adapter.records(spark, sf), path, "parquet")
-    catalog.register_tables(spark, "flow_analytics", {"flows": ("parquet", path)})
-    return spark.sql(
-        "SELECT protocol, count(*) AS flows, sum(byte_count) AS bytes "
-        "FROM flow_analytics.flows GROUP BY protocol"
+    """The flows as text, ORC and Parquet tables under SQL, and the same question to each."""
+    tables = {}
+    for fmt in ("csv", "orc", "parquet"):
+        path = work_path(spark, f"flows-table-{fmt}")
+        files.convert_flows(adapter.records(spark, sf), path, fmt)
+        tables[f"flows_{fmt}"] = (fmt, path)
+    listed = catalog.register_tables(spark, "flow_analytics", tables)
+    answers = " UNION ALL ".join(
+        f"SELECT '{name}' AS tableName, protocol, count(*) AS flows, sum(byte_count) AS bytes "
+        f"FROM flow_analytics.{name} GROUP BY protocol"
+        for name in tables
+    )
+    return spark.sql(answers).join(listed.select("tableName"), "tableName")
+
+
+def _describe_tables(spark, sf):
+    """The columns that SQL sees of each registered table."""
+    _register_tables(spark, sf)
+    described = [
+        catalog.describe_table(spark, f"flow_analytics.flows_{fmt}").limit(len(FLOW_SCHEMA))
+        .select(F.lit(f"flows_{fmt}").alias("table"), "col_name", "data_type")
+        for fmt in ("csv", "orc", "parquet")
+    ]
+    return reduce(DataFrame.unionByName, described)
+
+
+def _short_rows(spark, sf):
+    """A1: lines whose last field is absent, and lines where it is empty."""
+    path = work_path(spark, "short-lines")
+    last = F.when(F.col("i") % 7 == 0, "").when(F.col("i") % 7 == 1, ",").otherwise(
+        F.concat(F.lit(","), F.col("label"))
+    )
+    others = [F.col(f.name).cast("string") for f in FLOW_SCHEMA.fields[:-1]]
+    adapter.flows(spark, sf).select(
+        F.concat(F.concat_ws(",", *others), last).alias("value")
+    ).write.text(path)
+    return source.read_flows_csv(spark, path).groupBy("label").agg(
+        F.count("*").alias("rows"), F.sum("packet_count").alias("packets")
+    )
+
+
+def _in_many_forms(spark, sf):
+    """The flows with timestamps in all readable forms, and one in seven in an unreadable one."""
+    text, turn = F.col("timestamp"), F.col("i") % 7
+    form = (
+        F.when(turn == 1, F.concat(text, F.lit("Z")))
+        .when(turn == 2, F.concat(text, F.lit(".000Z")))
+        .when(turn == 3, F.concat(text, F.lit(".250")))
+        .when(turn == 4, F.concat(F.date_format(
+            F.to_timestamp(text, TIMESTAMP_FORMAT) + F.expr("INTERVAL 2 HOURS"),
+            TIMESTAMP_FORMAT), F.lit("+02:00")))
+        .when(turn == 5, F.translate(text, "-T", "/ "))
+        .otherwise(text)
+    )
+    rows = adapter.flows(spark, sf).drop("event_ts")
+    return source.with_event_time(rows.withColumn("timestamp", form))
+
+
+def _clear_alerts(spark, sf):
+    """How many alerts a store holds before and after it is emptied."""
+    path = work_path(spark, "alerts")
+    files.append_rows(alerts(spark, sf), path, ALERT_SCHEMA)
+    before = A.alert_kpis(read_alerts(spark, path)).first().total_alerts
+    files.clear_alerts(spark, path)
+    after = A.alert_kpis(read_alerts(spark, path))
+    return after.select(F.lit(before).alias("before"), F.col("total_alerts").alias("after"))
+
+
+def _first_rows(spark, sf):
+    rows = source.sample_head(adapter.flows(spark, sf), order=("timestamp", "i"))
+    return rows.select(*[f.name for f in FLOW_SCHEMA.fields])
+
+
+def _stream_kpis(spark, sf):
+    """Headline counts over what both streams have written."""
+    found = [query(spark, sf) for query in (_STREAMED_FLOODS, _STREAMED_SLIDING)]
+    return A.alert_kpis(reduce(DataFrame.unionByName, found))
+
+
+def _published_latencies(spark, sf):
+    """T9 on the published simulation: its 2,000 events, once for each 2,000 rows of the table,
+    every run with addresses of its own."""
+    events, attacks = adapter.simulation(spark, sf)
+    tumbling = evaluate.tumbling_count_alerts(events)
+    sliding = evaluate.sliding_count_alerts(events)
+    return evaluate.compare_windows(tumbling, sliding, attacks).select(
+        "design", "alerts", "attacks", F.round("mean_latency_s", 2).alias("mean_latency_s"),
+        F.round("mean_first_alert_s", 2).alias("mean_first_alert_s"),
     )
 
 
@@ -206,7 +289,9 @@ def _streamed(rule, name: str, **options) -> Query:
     def query(spark, sf):
         lines = work_path(spark, f"{name}-lines")
         records = adapter.records(spark, sf)
-        records.select(F.to_json(F.struct(*records.columns)).alias("value")).write.text(lines)
+        content = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
+        last = streaming.closing_line(adapter.flows(spark, sf), SLIDING["size"] + DAY)
+        content.union(last).write.text(lines)
         flows = streaming.watermarked(source.stream_flows(spark, lines), LATENESS)
         found = streaming.drain(spark, rule(flows, **options), name)
         return found.select(
@@ -217,10 +302,12 @@ def _streamed(rule, name: str, **options) -> Query:
     return query
 
 
+_SLIDING_BOTH = {**SLIDING, "scan_threshold": SCAN_THRESHOLD, "auth_threshold": AUTH_THRESHOLD}
+_STREAMED_FLOODS = _streamed(detect.flood_alerts, "floods", **FLOOD)
+_STREAMED_SLIDING = _streamed(detect.sliding_alerts, "sliding", **_SLIDING_BOTH)
+
+
 def queries() -> dict[str, Query]:
-    sliding_both = {
-        **SLIDING, "scan_threshold": SCAN_THRESHOLD, "auth_threshold": AUTH_THRESHOLD,
-    }
     return {
         # positional counts on raw lines
         "protocol_count": _on_lines(counts.protocol_count),
@@ -239,7 +326,10 @@ def queries() -> dict[str, Query]:
         "label_counts": _on_records(traffic.label_counts),
         "top_sources_display": _on_records(traffic.top_sources_display),
         "targeted_ports": _on_records(traffic.targeted_ports),
-        "sample_head": _on_records(source.sample_head),
+        "sample_head": _first_rows,
+        "short_rows": _short_rows,
+        "rejected_flows": lambda spark, sf: source.rejected_flows(_in_many_forms(spark, sf)),
+        "timestamp_forms": lambda spark, sf: detect.flood_alerts(_in_many_forms(spark, sf), **FLOOD),
         # formats, sinks and layout
         "packets_by_source_csv": _packets_from("csv"),
         "packets_by_source_orc": _packets_from("orc"),
@@ -249,6 +339,7 @@ def queries() -> dict[str, Query]:
         "append_events": _append_events,
         "append_alerts": _append_alerts,
         "register_tables": _register_tables,
+        "describe_tables": _describe_tables,
         "hashed_layout": _hashed_layout,
         "ranged_layout": _ranged_layout,
         "layout_report": _hash_report,
@@ -267,7 +358,7 @@ def queries() -> dict[str, Query]:
             windows.sliding_windows_by_row(adapter.flows(spark, sf), **SLIDING)
         ),
         "brute_force_alerts": _on_flows(detect.brute_force_alerts, **SLIDING, threshold=AUTH_THRESHOLD),
-        "sliding_alerts": _on_flows(detect.sliding_alerts, **sliding_both),
+        "sliding_alerts": _on_flows(detect.sliding_alerts, **_SLIDING_BOTH),
         "all_alerts": alerts,
         # alert questions and maintenance
         "high_severity_alerts": _on_alerts(A.high_severity_alerts),
@@ -280,7 +371,8 @@ def queries() -> dict[str, Query]:
         "alert_kpis": _on_alerts(A.alert_kpis),
         "recent_alerts": _on_alerts(read_recent_alerts),
         "alert_display": _on_alerts(A.alert_display),
-        "retain_latest": _on_alerts(maintain.retain_latest),
+        "retain_latest": _on_alerts(maintain.retain_latest, n=RETAINED),
+        "clear_alerts": _clear_alerts,
         "update_alert": _update_alert,
         "purge_label": _on_records(maintain.purge, column="label", value="BOTNET"),
         "purge_count": _on_records(maintain.purge_count, column="label", value="BOTNET"),
@@ -293,7 +385,9 @@ def queries() -> dict[str, Query]:
         "compare_windows": _evaluated(
             lambda e, a: evaluate.compare_windows(_tumbling(e), _sliding(e), a)
         ),
+        "published_latencies": _published_latencies,
         # the same rules on streams
-        "stream_flood_alerts": _streamed(detect.flood_alerts, "floods", **FLOOD),
-        "stream_sliding_alerts": _streamed(detect.sliding_alerts, "sliding", **sliding_both),
+        "stream_flood_alerts": _STREAMED_FLOODS,
+        "stream_sliding_alerts": _STREAMED_SLIDING,
+        "stream_kpis": _stream_kpis,
     }

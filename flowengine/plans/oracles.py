@@ -6,6 +6,7 @@ Doubles are rounded through decimals: the engines round ties in binary different
 from __future__ import annotations
 
 from flowengine.plans import catalogue as c
+from flowengine.schema import FLOW_SCHEMA
 
 FLOWS = """
 flows AS (
@@ -78,7 +79,7 @@ _AUTH = _rule(
     f" auth attempts against administrative services in {_W}s.",
 )
 ALERTS = f"alerts AS ({_FLOOD} UNION ALL {_SCAN} UNION ALL {_AUTH})"
-RECENT = 'recent AS (SELECT * FROM alerts ORDER BY "timestamp" DESC, alert_id LIMIT 500)'
+RECENT = 'recent AS (SELECT * FROM alerts ORDER BY "timestamp" DESC, alert_id LIMIT ' + str(c.RETAINED) + ')'
 
 EVALUATION = f"""
 attacks AS (
@@ -153,6 +154,25 @@ def _borders(size: int) -> str:
     )
 
 
+# Run by run the published figures: 99, 99 and 199 events after an attack's start for the tumbling
+# design, 49 to 299 and 49 to 399 in steps of 50 for the sliding one.
+_SIMULATION = """
+    WITH runs AS (SELECT event_id // 2000 AS run, max(event_id) AS last FROM events GROUP BY 1),
+    expected AS (
+      SELECT run, last, design, first_at, unnest(latencies) AS latency FROM runs,
+        (VALUES ('TUMBLING', 300, [99]), ('TUMBLING', 800, [99, 199]),
+                ('SLIDING', 300, list_transform(range(6), lambda k: 49 + 50 * k)),
+                ('SLIDING', 800, list_transform(range(8), lambda k: 49 + 50 * k)))
+          AS v(design, first_at, latencies)
+    )
+    SELECT design, count(*) AS alerts, (SELECT 2 * count(*) FROM runs) AS attacks,
+           round(avg(latency) / 10.0, 2) AS mean_latency_s,
+           round(avg(CASE design WHEN 'TUMBLING' THEN 99 ELSE 49 END) / 10.0, 2)
+             AS mean_first_alert_s
+    FROM expected GROUP BY design
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     packets = _flows(
         "SELECT src_ip, CAST(sum(packet_count) AS BIGINT) AS total_packets FROM flows GROUP BY src_ip"
@@ -161,14 +181,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_borders(_W)}, src_ip, request_count, distinct_ports, auth_attempts "
         "FROM sliding_windows"
     )
-    # a stream has raised the alerts of the windows its watermark has passed
-    closed = f"WHERE window_end <= (SELECT max(s) - {c.LATENESS.split()[0]} FROM flows)"
-    closed_windows = f"""
-      SELECT {{}} FROM (WITH flood_windows AS (FROM closed_floods),
-                             sliding_windows AS (FROM closed_sliding) {{}})"""
-    streams = (
-        f"WITH {FLOWS}, {WINDOWS}, closed_floods AS (SELECT * FROM flood_windows {closed}), "
-        f"closed_sliding AS (SELECT * FROM sliding_windows {closed})"
+    kpis = _alerts(
+        """SELECT count(*) AS total_alerts,
+                  count(*) FILTER (attack_type = 'DDoS_FLOOD') AS ddos_floods,
+                  count(*) FILTER (attack_type = 'PORT_SCAN') AS port_scans,
+                  count(*) FILTER (attack_type = 'BRUTE_FORCE') AS brute_force FROM alerts"""
+    )
+    readable = FLOWS.removesuffix("\n)").removesuffix(")") + (
+        " WHERE event_id % 7 <> 5)\n)"
     )
     return {
         "protocol_count": _flows(
@@ -248,8 +268,37 @@ def oracle_sql() -> dict[str, str]:
                       CAST(NULL AS INTEGER) AS retry_count FROM alerts"""
         ),
         "register_tables": _flows(
-            """SELECT protocol, count(*) AS flows, CAST(sum(byte_count) AS BIGINT) AS bytes
-               FROM flows GROUP BY protocol"""
+            """SELECT t AS "tableName", protocol, count(*) AS flows,
+                      CAST(sum(byte_count) AS BIGINT) AS bytes
+               FROM flows, (VALUES ('flows_csv'), ('flows_orc'), ('flows_parquet')) AS v(t)
+               GROUP BY t, protocol"""
+        ),
+        "describe_tables": " UNION ALL ".join(
+            f"SELECT 'flows_{fmt}' AS \"table\", '{field.name}' AS col_name, "
+            f"'{field.dataType.simpleString()}' AS data_type"
+            for fmt in ("csv", "orc", "parquet") for field in FLOW_SCHEMA.fields
+        ),
+        "sample_head": _flows(f'SELECT {RECORD} FROM flows ORDER BY "timestamp", i LIMIT 5000'),
+        "short_rows": _flows(
+            """SELECT CASE i % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE label END AS label,
+                      count(*) AS "rows", CAST(sum(packet_count) AS BIGINT) AS packets
+               FROM flows GROUP BY 1"""
+        ),
+        "rejected_flows": _flows(
+            """SELECT count(*) AS flows, CAST(0 AS BIGINT) AS without_timestamp,
+                      count(*) FILTER (i % 7 = 5) AS unreadable_timestamp FROM flows"""
+        ),
+        "timestamp_forms": f"WITH {readable}, {WINDOWS} {_FLOOD}",
+        "layout_report": _flows(
+            f"""SELECT shard, "rows",
+                       CAST(round(CAST("rows" * 100.0 / sum("rows") OVER () AS DECIMAL(38, 9)), 2)
+                            AS DOUBLE) AS share_pct,
+                       CAST(round(CAST(max("rows") OVER () * {c.SHARDS}
+                            / CAST(sum("rows") OVER () AS DOUBLE) AS DECIMAL(38, 9)), 3)
+                            AS DOUBLE) AS skew
+                FROM (SELECT CAST(CAST('0x' || substr(md5(src_ip), 1, 8) AS BIGINT) % {c.SHARDS}
+                                  AS INTEGER) AS shard, count(*) AS "rows"
+                      FROM flows GROUP BY 1)"""
         ),
         "hashed_layout": _flows(
             'SELECT src_ip, count(*) AS "rows", CAST(1 AS BIGINT) AS shards FROM flows GROUP BY 1'
@@ -290,20 +339,17 @@ def oracle_sql() -> dict[str, str]:
                FROM alerts GROUP BY src_ip ORDER BY alert_count DESC, src_ip LIMIT 5"""
         ),
         "alert_statistics": _alerts(
-            """SELECT 'total' AS dimension, NULL AS value, count(*) AS "count" FROM recent
-               UNION ALL SELECT 'attack_type', attack_type, count(*) FROM recent GROUP BY attack_type
-               UNION ALL SELECT 'src_ip', src_ip, count(*) FROM recent GROUP BY src_ip"""
+            """SELECT 'total' AS dimension, NULL AS value, count(*) AS "count" FROM alerts
+               UNION ALL SELECT 'attack_type', attack_type, count(*) FROM alerts GROUP BY attack_type
+               UNION ALL SELECT 'src_ip', src_ip, count(*) FROM alerts GROUP BY src_ip"""
         ),
         "alert_type_series": _alerts(
             """SELECT attack_type AS "Attack Type", count(*) AS "Alert Count"
-               FROM recent GROUP BY attack_type"""
-        ),
-        "alert_kpis": _alerts(
-            """SELECT count(*) AS total_alerts, least(count(*), 50) AS recent_alerts,
-                      count(*) FILTER (attack_type = 'DDoS_FLOOD') AS ddos_floods,
-                      count(*) FILTER (attack_type = 'PORT_SCAN') AS port_scans,
-                      count(*) FILTER (attack_type = 'BRUTE_FORCE') AS brute_force FROM recent"""
+               FROM alerts GROUP BY attack_type"""
         ),
+        "alert_kpis": kpis,
+        "stream_kpis": kpis,
+        "clear_alerts": _alerts('SELECT count(*) AS before, CAST(0 AS BIGINT) AS "after" FROM alerts'),
         "recent_alerts": _alerts('SELECT * FROM alerts ORDER BY "timestamp" DESC, alert_id LIMIT 50'),
         "alert_display": _alerts(
             """SELECT "timestamp" AS "Time", src_ip AS "Attacker IP", attack_type AS "Attack Type",
@@ -314,12 +360,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "retain_latest": _alerts("SELECT * FROM recent"),
         "update_alert": _alerts(
-            """, newest AS (SELECT alert_id AS id FROM recent
+            f""", newest AS (SELECT alert_id AS id FROM recent
                             ORDER BY "timestamp" DESC, alert_id LIMIT 1)
                SELECT alert_id, src_ip, metric_count,
                       CASE WHEN alert_id = id THEN 'RESOLVED' END AS status,
                       CASE WHEN alert_id = id THEN '2024-02-01T00:00:00' END AS resolved_at,
-                      CASE WHEN alert_id = id THEN 'Firewall rule created' END AS resolution_notes,
+                      CASE WHEN alert_id = id THEN '{c.RESOLUTION['resolution_notes']}' END AS resolution_notes,
                       CAST(CASE WHEN alert_id = id THEN 1 END AS INTEGER) AS retry_count
                FROM alerts, newest"""
         ),
@@ -349,6 +395,7 @@ def oracle_sql() -> dict[str, str]:
         "compare_windows": _evaluation(
             f"{_quality('tumbling', 'TUMBLING', 10.0)} UNION ALL {_quality('sliding', 'SLIDING', 5.0)}"
         ),
-        "stream_flood_alerts": streams + closed_windows.format("*", _FLOOD),
-        "stream_sliding_alerts": streams + closed_windows.format("*", f"{_SCAN} UNION ALL {_AUTH}"),
+        "published_latencies": _SIMULATION,
+        "stream_flood_alerts": _windows(_FLOOD),
+        "stream_sliding_alerts": _windows(f"{_SCAN} UNION ALL {_AUTH}"),
     }

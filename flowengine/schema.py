@@ -53,6 +53,8 @@ ATTACK_SCHEMA = T.StructType(
 
 # Fixed values.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# Read forms: optional fraction of a second, optional offset (`Z` or hours and minutes).
+TIMESTAMP_FORMS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
 UNKNOWN_SOURCE = "UNKNOWN"
 BENIGN = "BENIGN"
 PROBE_LABELS = ("DDoS_FLOOD", "PORT_SCAN", "BRUTE_FORCE")

@@ -7,17 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# window state lives off-heap and is checkpointed as change logs, so it may
+# outgrow executor memory and a lost executor restores it from the shared folder
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 SETTINGS = {
     # flow timestamps carry no zone, so windows and their text form are pinned to UTC
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.orc.filterPushdown": "true",
-    # window state lives off-heap and is checkpointed as change logs, so it may
-    # outgrow executor memory and a lost executor restores it from the shared folder
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_SETTINGS,
 }
 
 

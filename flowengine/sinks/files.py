@@ -8,9 +8,9 @@ written by many tasks, without salting the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from flowengine.operators.layout import shard_of
+from flowengine.operators.layout import digest_shard, shard_of
 from flowengine.operators.maintain import conform
 from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA
 
@@ -23,11 +23,24 @@ FORMAT_OPTIONS = {
 
 
 def convert_flows(flows: DataFrame, path: str, fmt: str) -> None:
-    """B1/B2: rewrite flows as ORC, Parquet or CSV, without a shuffle."""
-    columns = [f.name for f in FLOW_SCHEMA.fields]
+    """B1/B2: rewrite flows as ORC, Parquet or CSV, without a shuffle.
+
+    CSV has no quoting here, so a text with a comma or line break is refused with an error.
+    """
+    columns = [F.col(f.name) for f in FLOW_SCHEMA.fields]
+    if fmt == "csv":
+        columns = [_unquoted(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                   for f in FLOW_SCHEMA.fields]
     flows.select(*columns).write.mode("overwrite").options(**FORMAT_OPTIONS[fmt]).format(fmt).save(path)
 
 
+def _unquoted(name: str) -> Column:
+    """The text column, or an error where an unquoted line could not hold it."""
+    text = F.col(name)
+    message = F.concat(F.lit(f"{name} does not fit in an unquoted line: "), text)
+    return F.when(text.rlike("[,\\r\\n]"), F.raise_error(message)).otherwise(text).alias(name)
+
+
 def write_counts_tsv(counts: DataFrame, path: str) -> None:
     """`key<TAB>count` lines in key order over all part files; the folder must be new."""
     key, value = counts.columns
@@ -59,7 +72,7 @@ def write_hashed(rows: DataFrame, path: str, shards: int, key: str = "src_ip") -
 def read_hashed(spark: SparkSession, path: str, shards: int, value: str, key: str = "src_ip") -> DataFrame:
     """The rows of one key value, from its shard's folder only."""
     # the value's shard is folded to a constant, so the other folders are not listed
-    shard: Column = F.pmod(F.hash(F.lit(value)), F.lit(shards))
+    shard: Column = digest_shard(F.lit(value), shards)
     rows = spark.read.parquet(path)
     return rows.filter((F.col("shard") == shard) & (F.col(key) == value)).drop("shard")
 

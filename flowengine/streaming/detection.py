@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowengine.functions.scalars import iso_text
 from flowengine.operators.maintain import conform
 from flowengine.schema import ALERT_SCHEMA
-from flowengine.session import work_path
+from flowengine.session import STATE_SETTINGS, work_path
 from flowengine.sources.alerts import read_alerts
 
 LATENESS = "10 seconds"
@@ -30,8 +31,11 @@ def watermarked(flows: DataFrame, lateness: str = LATENESS) -> DataFrame:
 def write_alerts(alerts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append every alert, once its window is closed, to a Parquet folder.
 
-    `checkpoint` must be on storage all executors share, and stay with the folder.
+    `checkpoint` must be on storage all executors share, and stay with the folder. The
+    session's state store settings are the engine's from here on.
     """
+    for key, value in STATE_SETTINGS.items():
+        alerts.sparkSession.conf.set(key, value)
     return (
         conform(alerts, ALERT_SCHEMA)
         .writeStream.outputMode("append")
@@ -48,8 +52,17 @@ def read_alert_folders(spark: SparkSession, *paths: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [read_alerts(spark, path) for path in paths])
 
 
+def closing_line(flows: DataFrame, seconds: int) -> DataFrame:
+    """One JSON line, `seconds` after the newest flow: it moves the watermark past every window
+    that a flow is in, if `seconds` covers the window and the lateness. Its own window stays
+    open, and one flow is below any threshold."""
+    last = F.max("event_ts") + F.make_dt_interval(secs=F.lit(seconds))
+    return flows.agg(F.to_json(F.struct(iso_text(last).alias("timestamp"))).alias("value"))
+
+
 def drain(spark: SparkSession, alerts: DataFrame, name: str) -> DataFrame:
-    """Run an alert stream over all input present, and read back what it wrote."""
+    """Run an alert stream over all input present, and read back what it wrote. The windows that
+    the newest flows are in are only closed if the input ends with a `closing_line`."""
     path, checkpoint = work_path(spark, f"{name}-alerts"), work_path(spark, f"{name}-checkpoint")
     write_alerts(alerts, path, checkpoint, availableNow=True).awaitTermination()
     return read_alerts(spark, path)

@@ -102,7 +102,7 @@ def test_labels(events, attacks):
     assert labelled.filter("is_anomaly").count() == 190
 
 
-@pytest.mark.parametrize("block", [1, 7, 256])
+@pytest.mark.parametrize("block", [0, 3, 8])
 def test_overlapping_attacks_by_definition(spark, block):
     rng = random.Random(block)
     intervals = [(n, f"T{n}", "x", rng.randrange(0, 500), rng.choice([0, 1, 5, 60, 300])) for n in range(60)]

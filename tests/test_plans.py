@@ -2,14 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as contract
 from flowengine.operators import traffic
-from flowengine.plans import adapter
+from flowengine.plans import adapter, catalogue
 from flowengine.sinks import files
 from flowengine.sources import flows as source
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = catalogue.queries()
 
 
 def plan(frame):

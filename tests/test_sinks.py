@@ -1,3 +1,6 @@
+import hashlib
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,15 +78,25 @@ def test_ranged_layout_splits_a_hot_day_and_prunes(spark, skewed, tmp_path, smal
     assert range_.count() == skewed.filter("timestamp like '2024-01-02%'").count()
 
 
-def test_layout_report_is_the_partitioner(spark, skewed):
+def test_layout_report_by_digest(spark, skewed):
     report = layout.layout_report(skewed, layout.shard_of("src_ip", 8), 8)
     got = {r.shard: r.rows for r in report.collect()}
-    actual = skewed.repartition(8, "src_ip").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert got == {r.p: r["count"] for r in actual}
+    want = Counter(
+        int(hashlib.md5(r.src_ip.encode()).hexdigest()[:8], 16) % 8
+        for r in skewed.select("src_ip").collect()
+    )
+    assert got == dict(want)
     assert {r.skew for r in report.collect()} == {round(max(got.values()) * 8 / 40_000, 3)}
     assert sum(r.share_pct for r in report.collect()) == pytest.approx(100, abs=0.1)
 
 
+@pytest.mark.parametrize("label", ["a,b", "a\nb"])
+def test_csv_refuses_what_it_cannot_hold(spark, tmp_path, label):
+    rows = spark.createDataFrame([{"label": label}], FLOW_SCHEMA)
+    with pytest.raises(Exception, match="does not fit"):
+        files.convert_flows(rows, str(tmp_path / "csv"), "csv")
+
+
 def test_footprint(spark, skewed, tmp_path):
     paths = {}
     for fmt in ("csv", "orc", "parquet"):

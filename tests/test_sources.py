@@ -98,4 +98,22 @@ def test_recent_alerts_order(spark):
 
 
 def test_sample_head(spark):
-    assert source.sample_head(spark.range(20), 7).count() == 7
+    rows = spark.createDataFrame([(f"2024-01-{d:02}", d) for d in range(20, 0, -1)], "timestamp string, i int")
+    assert [r.i for r in source.sample_head(rows, 7).orderBy("i").collect()] == list(range(1, 8))
+
+
+def test_timestamps_in_all_forms(spark):
+    forms = ["2024-01-01T00:00:00", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00.000Z",
+             "2024-01-01T02:00:00+02:00", "2024-01-01T00:00:00.5", "2024/01/01 00:00", None]
+    flows = source.with_event_time(spark.createDataFrame([(f,) for f in forms], "timestamp string"))
+    instants = [r.event_ts and r.event_ts.isoformat() for r in flows.collect()]
+    assert instants == ["2024-01-01T00:00:00"] * 4 + ["2024-01-01T00:00:00.500000", None, None]
+    assert tuple(source.rejected_flows(flows).first()) == (7, 1, 1)
+
+
+def test_short_line_and_empty_field(spark, tmp_path):
+    full = "t,s,d,1,2,TCP,3,4,0.5,ACK"
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, full, full + ",", full + ",X", ""]))
+    rows = source.read_flows_csv(spark, str(tmp_path / "a.csv")).collect()
+    assert sorted((r.label is None, r.label or "") for r in rows) == [(False, ""), (False, "X"), (True, "")]
+    assert {(r.src_port, r.duration) for r in rows} == {(1, 0.5)}

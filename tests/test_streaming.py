@@ -90,7 +90,7 @@ def test_kpis_over_both_folders(spark, tmp_path):
             rule(flows, **options), str(tmp_path / name), str(tmp_path / f"{name}-c"), availableNow=True
         ).awaitTermination()
     stored = streaming.read_alert_folders(spark, str(tmp_path / "floods"), str(tmp_path / "sliding"))
-    kpis = A.alert_kpis(stored, limit=10_000).first()
+    kpis = A.alert_kpis(stored).first()
     assert kpis.total_alerts == kpis.ddos_floods + kpis.port_scans + kpis.brute_force == stored.count()
     assert min(kpis.ddos_floods, kpis.port_scans, kpis.brute_force) > 0
 
