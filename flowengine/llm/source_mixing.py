@@ -21,7 +21,7 @@ _STEP, _POINTS = 1_640_531_527, 1 << 32
 #: Cells in which points meet their source's stretch.
 _CELLS = 1 << 12
 #: Slots whose ranks are counted together, hexadecimal digits that cut a source's shuffle.
-_STRETCH, _DIGITS = 1 << 16, 4
+_STRETCH, _DIGITS = 1 << 16, 3
 
 _ROW = ["doc_id", "text_key", "lang", "source", "n_chars"]
 
