@@ -116,6 +116,16 @@ def test_overlapping_attacks_by_definition(spark, block):
     assert got == want
 
 
+def test_intervals_are_cut_into_few_aligned_pieces(spark):
+    rng = random.Random(5)
+    intervals = [(n, "T", "x", rng.randrange(0, 10_000), rng.choice([0, 1, 2, 7, 64, 999, 5000])) for n in range(80)]
+    pieces = evaluate._aligned_pieces(spark.createDataFrame(intervals, ATTACK_SCHEMA)).collect()
+    for n, _, _, start, duration in intervals:
+        own = [(r.piece << r.level, (r.piece + 1) << r.level) for r in pieces if r.attack_no == n]
+        assert len(own) <= 2 * max(1, duration.bit_length())
+        assert sorted(i for a, b in own for i in range(a, b)) == list(range(start, start + duration))
+
+
 @pytest.mark.parametrize("stretch", [1, 10, 1 << 16])
 def test_matches_by_definition(spark, monkeypatch, stretch):
     monkeypatch.setattr(evaluate, "STRETCH_EVENTS", stretch)
