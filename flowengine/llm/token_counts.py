@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +28,8 @@ class _Counter:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # a task has one core; the library's own threads would spin on the others'
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -52,14 +56,11 @@ class _Counter:
     def count(self, text: str) -> int:
         total, known = 0, self.known
         for window in windows(text, WINDOW_CHARS):
-            parts = pieces(window)
-            new = dict(self._encode(sorted({p for p in parts if known.lacks(p)})))
-            if new:
-                total += sum(new[p] if p in new else known[p] for p in parts)
-                for part, n in new.items():
-                    known.keep(part, n)
-            else:
-                total += sum(map(known.__getitem__, parts))
+            parts = Counter(pieces(window))
+            new = dict(self._encode(filter(known.lacks, parts)))
+            total += sum(n * (new[p] if p in new else known[p]) for p, n in parts.items())
+            for part, n in new.items():
+                known.keep(part, n)
         return total
 
 
