@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowengine.operators.windows import distinct_port_counts, pane_of, row_counts
+from flowengine.operators.windows import pane_of, port_and_row_counts
 
 EVENTS_PER_SECOND = 10.0
 
@@ -118,19 +118,16 @@ def sliding_count_alerts(
     n_events: int | None = None,
 ) -> DataFrame:
     """Every `slide` events over the last `size`, sources with at least `min_ports`
-    distinct ports or `min_events` events. Of the two figures, one below its own threshold
-    is NULL. Same window counts as the time windows'."""
+    distinct ports or `min_events` events, and both figures. Same window counts as the time
+    windows', in one pass."""
     if size % slide:
         raise ValueError("size must be a multiple of slide")
     rows = events.select(
         F.col("i").alias("position"), F.col("ip").alias("src_ip"), F.col("port").alias("dst_port")
     )
-    many_ports = distinct_port_counts(rows, size, slide, min_ports)
-    many_events = row_counts(rows, size, slide, min_events)
-    hits = (
-        many_ports.unionByName(many_events, allowMissingColumns=True)
-        .groupBy("window_end", F.col("src_ip").alias("ip"))
-        .agg(F.max("rows").alias("events"), F.max("distinct_ports").alias("ports"))
+    hits = port_and_row_counts(rows, size, slide, min_ports, min_events).select(
+        "window_end", F.col("src_ip").alias("ip"), F.col("rows").alias("events"),
+        F.col("distinct_ports").alias("ports"),
     )
     return _closed(hits, events, n_events).select("idx", "ip", "events", "ports")
 

@@ -20,9 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowengine import schema
 from flowengine.functions.scalars import is_auth_port, source_or_unknown
 
-# Panes per window up to which a stretch's windows are kept side by side: a mask then has
-# at most 47 bits and a stretch 32 counts.
-MASK_PANES = 16
+# Windows that a stretch keeps side by side, at most: a mask then fits into 63 bits.
+SIDE_BY_SIDE = 32
 
 # Panes a group of `windows_from_panes` may span: 1024 slides of 5 s are 85 minutes.
 STRETCH_PANES = 1024
@@ -159,21 +158,12 @@ def distinct_port_counts(rows: DataFrame, size: int, slide: int, threshold: int)
     eight bytes that combines before the shuffle; a window is a run of bits. Positions may
     be seconds or event numbers.
     """
-    rows = rows.filter(F.col("dst_port").isNotNull())
-    if size // slide > MASK_PANES:
-        panes = rows.groupBy(
-            pane_of(F.col("position"), slide).alias("pane"), "src_ip", "dst_port"
-        ).agg(F.count("*").alias("flows"))
-        windows = windows_from_panes(panes.filter(F.col("pane").isNotNull()), size, slide)
-        return windows.filter(F.col("distinct_ports") >= threshold).select(
-            "window_end", "src_ip", "distinct_ports"
-        )
     masks = (
-        _in_stretches(rows, size, slide, "dst_port")
+        _in_stretches(rows.filter(F.col("dst_port").isNotNull()), size, slide, "dst_port")
         .groupBy("src_ip", "dst_port", "stretch")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
-    run = (1 << size // slide) - 1
+    run = (1 << _run(size, slide)) - 1
     return _windows_of_stretches(
         masks,
         lambda window: f"(mask & {run << window}L) != 0",
@@ -186,21 +176,10 @@ def distinct_port_counts(rows: DataFrame, size: int, slide: int, threshold: int)
 
 def row_counts(rows: DataFrame, size: int, slide: int, threshold: int) -> DataFrame:
     """Windows over (position, src_ip) with at least `threshold` rows."""
-    panes = size // slide
-    if panes > MASK_PANES:
-        counted = rows.groupBy(pane_of(F.col("position"), slide).alias("pane"), "src_ip").agg(
-            F.count("*").alias("rows")
-        )
-        return (
-            counted.filter(F.col("pane").isNotNull())
-            .select(_window_ends(size, slide).alias("window_end"), "src_ip", "rows")
-            .groupBy("window_end", "src_ip")
-            .agg(F.sum("rows").alias("rows"))
-            .filter(F.col("rows") >= threshold)
-        )
+    run = _run(size, slide)
     return _windows_of_stretches(
         _in_stretches(rows, size, slide),
-        lambda window: f"bit >= {window} AND bit < {window + panes}",
+        lambda window: f"bit >= {window} AND bit < {window + run}",
         size,
         slide,
         threshold,
@@ -208,20 +187,29 @@ def row_counts(rows: DataFrame, size: int, slide: int, threshold: int) -> DataFr
     )
 
 
-def _stretch(size: int) -> int:
-    # two window lengths: rows near the end of a stretch, which belong to the next as
-    # well, are then fewer than half, and the counts side by side still few
-    return 2 * size
+def _stretch(size: int, slide: int) -> int:
+    # two window lengths where they fit: rows near the end of a stretch, which belong to
+    # the next as well, are then fewer than half, and the counts side by side still few
+    return slide * min(2 * (size // slide), SIDE_BY_SIDE)
+
+
+def _run(size: int, slide: int) -> int:
+    # bits of a window: panes that all windows of a stretch hold share one bit
+    return min(size // slide, _stretch(size, slide) // slide)
 
 
 def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> DataFrame:
     """Rows with each stretch that has windows holding them, and their pane's bit there.
 
     A stretch has the windows whose last pane it contains. Bit 0 is the first pane of its
-    first window, so window number n is a run of bits from n on.
+    first window, so window number n is a run of bits from n on. In windows longer than a
+    stretch, the panes between the first window's start and its end that every other window
+    holds too are one bit.
     """
     pane = F.col("pane")
-    reach, stretch = size - slide, _stretch(size)
+    reach, stretch, run = size - slide, _stretch(size, slide), _run(size, slide)
+    nth = F.expr(f"int((pane - stretch + {reach}) div {slide})")
+    bit = F.greatest(F.least(nth, F.lit(run - 1)), nth - (size // slide - run))
     stretches = F.sequence(
         pane_of(pane, stretch), pane_of(pane + reach, stretch), F.lit(stretch).cast("bigint")
     )
@@ -233,7 +221,7 @@ def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> Data
             "src_ip",
             *columns,
             "stretch",
-            F.expr(f"int((pane - stretch + {reach}) div {slide})").alias("bit"),
+            bit.alias("bit"),
         )
     )
 
@@ -251,20 +239,67 @@ def _windows_of_stretches(
     Plain CASE and comparisons: count_if and BETWEEN are rewritten with common expressions,
     whose planning time multiplies with every further one in the same aggregate.
     """
-    numbers = range(_stretch(size) // slide)
+    numbers = range(_stretch(size, slide) // slide)
     counts = rows.groupBy("src_ip", "stretch").agg(
-        *[F.expr(f"count(CASE WHEN {held(n)} THEN 1 END) AS n{n}") for n in numbers]
+        *[F.expr(f"count(CASE WHEN {held(n)} THEN 1 END) AS {name}_{n}") for n in numbers]
+    )
+    return _reached(counts, numbers, slide, {name: threshold})
+
+
+def _reached(
+    counts: DataFrame, numbers: range, slide: int, thresholds: dict[str, int]
+) -> DataFrame:
+    """Windows of stretches, with their side by side counts, that reach any of the thresholds."""
+    most = " OR ".join(
+        f"greatest({', '.join(f'{name}_{n}' for n in numbers)}) >= {least}"
+        if len(numbers) > 1 else f"{name}_0 >= {least}"
+        for name, least in thresholds.items()
     )
-    most = ", ".join(f"n{n}" for n in numbers)
     windows = ", ".join(
-        f"struct(stretch + {(n + 1) * slide} AS window_end, n{n} AS {name})" for n in numbers
+        f"struct(stretch + {(n + 1) * slide} AS window_end, "
+        + ", ".join(f"{name}_{n} AS {name}" for name in thresholds) + ")"
+        for n in numbers
     )
+    reached = " OR ".join(f"{name} >= {least}" for name, least in thresholds.items())
     return (
-        counts.filter(F.expr(f"greatest({most}) >= {threshold}"))
+        counts.filter(F.expr(most))
         .select("src_ip", F.expr(f"inline(array({windows}))"))
-        .filter(F.col(name) >= threshold)
-        .select("window_end", "src_ip", name)
+        .filter(F.expr(reached))
+        .select("window_end", "src_ip", *thresholds)
+    )
+
+
+def port_and_row_counts(
+    rows: DataFrame, size: int, slide: int, min_ports: int, min_rows: int
+) -> DataFrame:
+    """Windows over (position, src_ip, dst_port) with at least `min_ports` distinct ports or
+    `min_rows` rows, and both figures of each.
+
+    One pass: a port's rows in each window of a stretch are counted next to its mask.
+    """
+    numbers = range(_stretch(size, slide) // slide)
+    run = _run(size, slide)
+    of_ports = (
+        _in_stretches(rows, size, slide, "dst_port")
+        .groupBy("src_ip", "dst_port", "stretch")
+        .agg(
+            F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"),
+            *[
+                F.expr(f"count(CASE WHEN bit >= {n} AND bit < {n + run} THEN 1 END) AS rows_{n}")
+                for n in numbers
+            ],
+        )
+    )
+    known = "dst_port IS NOT NULL AND (mask & {mask}L) != 0"
+    counts = of_ports.groupBy("src_ip", "stretch").agg(
+        *[
+            F.expr(f"count(CASE WHEN {known.format(mask=((1 << run) - 1) << n)} THEN 1 END)")
+            .alias(f"distinct_ports_{n}")
+            for n in numbers
+        ],
+        *[F.sum(f"rows_{n}").alias(f"rows_{n}") for n in numbers],
     )
+    return _reached(counts, numbers, slide, {"distinct_ports": min_ports, "rows": min_rows})
 
 
 def pane_of(position: Column, slide: int) -> Column:

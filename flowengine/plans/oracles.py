@@ -96,9 +96,7 @@ tumbling AS (
   WHERE events >= {c.BUCKET['min_events']} AND idx <= (SELECT max(i) FROM flows)
 ),
 sliding AS (
-  SELECT idx, ip, CASE WHEN events >= {c.BUFFER['min_events']} THEN events END AS events,
-         CASE WHEN ports >= {c.BUFFER['min_ports']} THEN ports END AS ports
-  FROM (
+  SELECT idx, ip, events, ports FROM (
     SELECT i - i % {c.BUFFER['slide']} + g * {c.BUFFER['slide']} + {c.BUFFER['slide']} - 1 AS idx,
            src_ip AS ip, count(*) AS events, count(DISTINCT dst_port) AS ports
     FROM flows, generate_series(0, {c.BUFFER['size'] // c.BUFFER['slide'] - 1}) AS t(g)

@@ -133,9 +133,11 @@ def test_short_stretches_give_the_same_windows(spark, monkeypatch, stretch):
         assert by_pane.exceptAll(by_row).count() == by_row.exceptAll(by_pane).count() == 0
 
 
-@pytest.mark.parametrize("size,slide", [(30, 5), (30, 30), (10, 5), (80, 5), (85, 5), (100, 5)])
+@pytest.mark.parametrize(
+    "size,slide", [(30, 5), (30, 30), (10, 5), (80, 5), (85, 5), (160, 5), (165, 5), (200, 2)]
+)
 def test_threshold_windows_equal_window(spark, size, slide):
-    """Either side of the longest window kept in a mask."""
+    """Windows shorter than a stretch, as long as one, and longer than several."""
     frame = flows(spark, scattered())
     every = windows.sliding_windows_by_row(frame, size, slide)
     borders = ("window_start", "window_end", "src_ip")
