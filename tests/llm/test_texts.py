@@ -280,6 +280,17 @@ def test_lines_of_figures_are_compared_as_they_are(spark):
     assert got[3] == "1 2 3 4 5 6 7 9 net x" and got[5] == "other words of the last text"
 
 
+def test_long_lines_without_blanks_recur(spark):
+    passage = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"
+    other = passage.replace("猫", "犬")
+    texts = {1: f"{passage}\nshort", 2: f"{passage} \nshort", 3: f"{other}\nshort\n{' ' * 40}",
+             4: f"{passage}2024年\n{' ' * 40}", 5: f"{passage}2025年"}
+    frame = spark.createDataFrame([(k, t, "ja", "s", 1) for k, t in texts.items()],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(frame).collect()}
+    assert got == texts | {2: "short"}
+
+
 def test_lines_of_awkward_texts(awkward, nothing):
     rows = line_templates.drop_recurring_lines(awkward).collect()
     assert len(rows) == awkward.count()
