@@ -117,6 +117,23 @@ def test_recall_against_brute_force(spark, monkeypatch, tile):
     assert sum(got[i].component_id == lowest for i, (_, lowest) in want.items()) / len(want) >= 0.98
 
 
+@pytest.mark.parametrize("width", [24, 64])
+@pytest.mark.parametrize("n", [10**5, 10**6, 10**7])
+def test_recall_at_the_threshold_for_large_labels(width, n):
+    """Pairs at cosine 0.931 under the filters for n vectors; only the pairs are made."""
+    draw = np.random.default_rng([width, n])
+    x, w = draw.normal(size=(2, 300, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    w -= (w * x).sum(axis=1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    codes = cap_filters.Codes(width, *cap_filters.cap(n, 0.93), cap_filters.best(n))
+    sides = []
+    for units in (x, 0.931 * x + math.sqrt(1 - 0.931**2) * w):
+        row, caught = codes.decode(units)
+        sides.append([set(caught[row == k].tolist()) for k in range(300)])
+    assert sum(bool(a & b) for a, b in zip(*sides, strict=True)) / 300 >= 0.98
+
+
 def test_filters_have_no_links_twice():
     lists = [[1, 4, 9], [4, 9], [1, 9], [9]]
     import pyarrow as pa
