@@ -279,6 +279,102 @@ _QUALITY = f"""
 """
 
 
+_MERKLE_MANIFEST = """
+    WITH RECURSIVE crc_steps(i, v, k) AS (
+        SELECT i, i, 0 FROM range(256) t(i)
+        UNION ALL
+        SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1
+        FROM crc_steps WHERE k < 8
+    ),
+    crc AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8),
+    marked AS (
+        SELECT row_number() OVER () AS i, d.*, coalesce(xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(
+                    string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 5 = 0, false)
+            AS marked
+        FROM documents d, crc
+    ),
+    texts AS (
+        SELECT *, text AS original, CASE WHEN marked THEN translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS copied
+        FROM marked
+    ),
+    digests AS (
+        SELECT doc_id, coalesce('=' || source, '') AS tree,
+               sha256(head || coalesce(strlen(original) || ':' || original, '-')) AS leaf,
+               sha256(head || coalesce(strlen(copied) || ':' || copied, '-')) AS claimed
+        FROM (
+            SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+            FROM texts
+        )
+    ),
+    leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY tree
+                                     ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos,
+               count(*) OVER (PARTITION BY tree) AS n
+        FROM digests
+    ),
+    nodes(tree, level, pos, n, digest) AS (
+        SELECT tree, 0, pos, n, leaf FROM leaves
+        UNION ALL
+        SELECT tree, level + 1, pos // 16, (any_value(n) + 15) // 16,
+               sha256(string_agg(digest, '' ORDER BY pos))
+        FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16
+    ),
+    subroots AS (
+        SELECT tree, level, digest, row_number() OVER (ORDER BY tree) - 1 AS pos,
+               count(*) OVER () AS n
+        FROM nodes WHERE n = 1
+    ),
+    upper(level, pos, n, digest) AS (
+        SELECT 0, pos, n, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 16, (any_value(n) + 15) // 16,
+               sha256(string_agg(digest, '' ORDER BY pos))
+        FROM upper WHERE n > 1 GROUP BY level, pos // 16
+    ),
+    above AS (
+        SELECT a.level, a.pos,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS lft,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS rgt
+        FROM upper a JOIN upper b ON a.level = b.level AND a.pos // 16 = b.pos // 16
+        WHERE a.n > 1 GROUP BY a.level, a.pos
+    ),
+    steps AS (
+        SELECT a.tree, a.level, a.pos,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS lft,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS rgt
+        FROM nodes a JOIN nodes b
+          ON a.tree = b.tree AND a.level = b.level AND a.pos // 16 = b.pos // 16
+        WHERE a.n > 1 GROUP BY a.tree, a.level, a.pos
+        UNION ALL
+        SELECT s.tree, s.level + u.level, x.pos, u.lft, u.rgt
+        FROM subroots s JOIN above u ON u.pos = s.pos // (16 ** u.level)::BIGINT
+        CROSS JOIN (SELECT 0 AS pos) x
+    ),
+    folded(tree, first, claimed, level, place, proof) AS (
+        SELECT tree, pos, claimed, 0, pos, '' FROM leaves
+        UNION ALL
+        SELECT f.tree, f.first, sha256(s.lft || f.claimed || s.rgt), f.level + 1, f.place // 16,
+               f.proof || s.lft || s.rgt
+        FROM folded f JOIN steps s ON s.tree = f.tree AND s.level = f.level AND s.pos = f.place
+    ),
+    ends AS (
+        SELECT tree, first, arg_max(claimed, level) AS folded_root,
+               sha256(arg_max(proof, level)) AS proof_sha256
+        FROM folded GROUP BY tree, first
+    )
+    SELECT l.doc_id, l.leaf, s.digest AS subroot, u.digest AS root, e.proof_sha256,
+           e.folded_root, e.folded_root = u.digest AS verified
+    FROM leaves l JOIN subroots s USING (tree) JOIN ends e ON e.tree = l.tree AND e.first = l.pos
+    CROSS JOIN (SELECT digest FROM upper WHERE n = 1) u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
     return {
@@ -288,4 +384,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_source_mixing": _SOURCE_MIXING,
         "op7_quality": _QUALITY,
         "op8_url_filter": _url_filter(),
+        "op11_merkle_manifest": _MERKLE_MANIFEST,
     }

@@ -15,6 +15,7 @@ from flowengine.llm import (
     exact_topk,
     language_id,
     line_templates,
+    merkle,
     quality,
     simhash,
     source_mixing,
@@ -107,6 +108,16 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, tokenizer_path())).drop("ids")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verdict, with some texts tampered with."""
+    copied = merkle.tampered_text(F.col("doc_id"), F.col("text"))
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", merkle.leaf().alias("digest"),
+        merkle.leaf(text=copied).alias("claimed"),
+    )
+    return merkle.verified(merkle.manifest(leaves))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each callable takes (spark, sf_dir) and returns a DataFrame."""
     return {
@@ -120,5 +131,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
+        "op11_merkle_manifest": op11_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
