@@ -375,6 +375,50 @@ _MERKLE_MANIFEST = """
 """
 
 
+def _words(text: str) -> str:
+    lowered = (
+        f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+_BENCHMARK_DECONTAMINATION = f"""
+    WITH items AS (
+        SELECT item_id::VARCHAR AS item, {_words("text")} AS w FROM benchmark
+    ),
+    phrases AS (
+        SELECT DISTINCT item, list_slice(w, s, s + 9) AS phrase FROM (
+            SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s
+            FROM items WHERE len(w) > 0
+        )
+    ),
+    words AS (
+        SELECT row_number() OVER () AS i, doc_id, {_words("text")} AS w FROM documents
+    ),
+    found AS (
+        SELECT i, s, n, item
+        FROM (
+            SELECT i, s, n, list_slice(w, s, s + n - 1) AS phrase
+            FROM (SELECT i, w, n, unnest(range(1, len(w) - n + 2)) AS s
+                  FROM words CROSS JOIN (SELECT DISTINCT len(phrase) AS n FROM phrases) sizes)
+        ) JOIN phrases USING (phrase)
+    ),
+    hits AS (
+        SELECT i, count(DISTINCT place) AS n_hit
+        FROM (SELECT i, unnest(range(s, s + n)) AS place FROM found) GROUP BY i
+    ),
+    named AS (
+        SELECT i, list(item ORDER BY item) AS named
+        FROM (SELECT DISTINCT i, item FROM found WHERE item IS NOT NULL) GROUP BY i
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(len(named), 0) AS n_items,
+           sha256(coalesce(array_to_string(named, ','), '')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM words LEFT JOIN hits USING (i) LEFT JOIN named USING (i)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
     return {
@@ -385,4 +429,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_quality": _QUALITY,
         "op8_url_filter": _url_filter(),
         "op11_merkle_manifest": _MERKLE_MANIFEST,
+        "op12_benchmark_decontamination": _BENCHMARK_DECONTAMINATION,
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowengine.llm import (
     bpe,
     cap_filters,
+    decontamination,
     exact_topk,
     language_id,
     line_templates,
@@ -118,6 +119,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(merkle.manifest(leaves))
 
 
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document has of the benchmark's items."""
+    found = decontamination.find(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each callable takes (spark, sf_dir) and returns a DataFrame."""
     return {
@@ -132,5 +145,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_bpe_round_trip": op10_bpe_round_trip,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_benchmark_decontamination": op12_benchmark_decontamination,
         "pipeline": corpus_pipeline.run,
     }
