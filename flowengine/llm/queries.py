@@ -20,6 +20,7 @@ from flowengine.llm import (
     quality,
     simhash,
     source_mixing,
+    spelling,
     token_counts,
     url_filter,
 )
@@ -36,6 +37,9 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 
+#: One in so many words is misspelt before words are counted.
+NOISE = 199
+
 
 def tokenizer_path() -> str:
     """The vocabulary's place, the same on the driver and every executor."""
@@ -131,6 +135,12 @@ def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form and root of every word that occurs five times, with one in 199 misspelt."""
+    counted = spelling.count_words(table(spark, sf_dir, "documents"), noise=NOISE)
+    return spelling.variants(counted.where(F.col("n") >= spelling.MIN_COUNT))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each callable takes (spark, sf_dir) and returns a DataFrame."""
     return {
@@ -146,5 +156,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_bpe_round_trip": op10_bpe_round_trip,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_benchmark_decontamination": op12_benchmark_decontamination,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
