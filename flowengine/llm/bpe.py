@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import codecs
+import hashlib
 import heapq
 import itertools
 import json
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowengine.llm.common import Remembered, map_batches, pieces, windows
+from flowengine.llm.common import map_batches, pieces, windows
 
 #: Fixed value: the rule by which byte-level BPE vocabularies of this kind split a text into words.
 SPLIT_RULE = (
@@ -22,11 +24,16 @@ SPLIT_RULE = (
 )
 #: Texts are encoded in parts of about so many characters.
 WINDOW_CHARS = 1 << 20
-#: Ids of short words and pieces that a Python worker remembers, about 200 bytes each.
-WORDS, PIECES, REMEMBERED_CHARS = 1 << 17, 1 << 16, 32
-_DEAD = -1
-_PLACE_BITS = 40
-_PLACES = (1 << _PLACE_BITS) - 1
+#: Texts and parts of about so many characters together are encoded at a time.
+CHUNK_CHARS = 4 << 20
+#: Short pieces that a Python worker remembers with their ids, about 200 bytes each.
+REMEMBERED, REMEMBERED_CHARS = 1 << 18, 32
+#: Words that are merged side by side, and the bytes of a longer one, which is merged alone.
+SIDE_BY_SIDE, SHORT_BYTES = 1 << 12, 48
+#: Ids that are decoded at a time.
+DECODED_IDS = 1 << 18
+_ID_BITS = 20
+_NONE, _NO_RANK = -1, (1 << 31) - 1
 
 _models: dict[str, "Model"] = {}
 
@@ -53,12 +60,11 @@ class Model:
         vocabulary = stored["model"]["vocab"]
         letters = _byte_letters()
         self.byte_ids = [vocabulary[letter] for letter in letters]
-        self.rank_of, self.rules = {}, []
+        self.rank_of, self.merged = {}, []
         for rank, pair in enumerate(stored["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            key = vocabulary[left], vocabulary[right]
-            self.rank_of[key] = rank
-            self.rules.append((*key, vocabulary[left + right]))
+            self.rank_of[vocabulary[left] << _ID_BITS | vocabulary[right]] = rank
+            self.merged.append(vocabulary[left + right])
         added = {t["content"]: t["id"] for t in stored["added_tokens"]}
         byte_of = {letter: b for b, letter in enumerate(letters)}
         self.strings = [b""] * (max([*vocabulary.values(), *added.values()]) + 1)
@@ -69,65 +75,205 @@ class Model:
         self.added = {token: _packed([i]) for token, i in added.items()}
         self.added_rule = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.words = regex.compile(SPLIT_RULE).findall
-        self.word_ids = Remembered(
-            lambda word: _packed(self.merge(word.encode())), WORDS, REMEMBERED_CHARS
-        )
-        self.piece_ids = Remembered(
-            lambda piece: b"".join(map(self.word_ids.__getitem__, self.words(piece))),
-            PIECES, REMEMBERED_CHARS,
-        )
+        self.known, self.older = {}, {}
+        self._arrays(stored_pairs=sorted(self.rank_of.items()))
+
+    def _arrays(self, stored_pairs: list[tuple[int, int]]) -> None:
+        """The same tables for many words at a time."""
+        self.pair_keys = np.array([key for key, _ in stored_pairs] + [1 << 62], dtype=np.int64)
+        self.pair_ranks = np.array([r for _, r in stored_pairs] + [_NO_RANK], dtype=np.int32)
+        self.merged_ids = np.array(self.merged + [0], dtype=np.int32)
+        self.byte_id_array = np.array(self.byte_ids, dtype=np.int32)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << _ID_BITS | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NO_RANK)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of many words. Short ones of like length are merged side by side."""
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        out: list[bytes] = [b""] * len(words)
+        for start in range(0, len(order), SIDE_BY_SIDE):
+            part = [k for k in order[start:start + SIDE_BY_SIDE] if len(words[k]) <= SHORT_BYTES]
+            if part:
+                for k, ids in zip(part, self._side_by_side([words[k] for k in part]), strict=True):
+                    out[k] = ids
+        for k in order:
+            if len(words[k]) > SHORT_BYTES:
+                out[k] = _packed(self.merge(words[k]))
+        return out
+
+    def _side_by_side(self, words: list[bytes]) -> Iterator[bytes]:
+        """`merge` for many words at once, a row of arrays each: `queue` has a word's ranks at the
+        places of their pairs, `after` and `before` link its symbols. Each round pops every word's
+        lowest rank, leftmost first; entries of places that are merged away are stale and skipped.
+        """
+        lengths = np.array([len(w) for w in words])
+        n, width = len(words), int(lengths.max())
+        symbols = np.full((n, width), _NONE, dtype=np.int32)
+        symbols[np.arange(width) < lengths[:, None]] = self.byte_id_array[
+            np.frombuffer(b"".join(words), dtype=np.uint8)
+        ]
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
+        after[np.arange(n), lengths - 1] = width
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), (n, 1))
+        queue = np.full((n, width), _NO_RANK, dtype=np.int32)
+        if width > 1:
+            pairs = symbols[:, 1:] >= 0
+            queue[:, :-1][pairs] = self._ranks(symbols[:, :-1][pairs], symbols[:, 1:][pairs])
+        rows = np.arange(n)
+        while len(rows):
+            at = queue[rows].argmin(axis=1)
+            rank = queue[rows, at]
+            some = rank < _NO_RANK
+            rows, at, rank = rows[some], at[some], rank[some]
+            stale = symbols[rows, at] < 0
+            queue[rows[stale], at[stale]] = _NO_RANK
+            r, at, merged = rows[~stale], at[~stale], self.merged_ids[rank[~stale]]
+            other = after[r, at]
+            following = after[r, other]
+            symbols[r, at], symbols[r, other] = merged, _NONE
+            after[r, at] = following
+            queue[r, at] = _NO_RANK
+            more = np.flatnonzero(following < width)
+            there = following[more]
+            before[r[more], there] = at[more]
+            queue[r[more], at[more]] = self._ranks(merged[more], symbols[r[more], there])
+            preceding = before[r, at]
+            more = np.flatnonzero(preceding >= 0)
+            there = preceding[more]
+            queue[r[more], there] = self._ranks(symbols[r[more], there], merged[more])
+        left = symbols >= 0
+        ids = symbols[left].astype("<u4").tobytes()
+        ends = np.cumsum(left.sum(axis=1)) * 4
+        return (ids[a:b] for a, b in itertools.pairwise([0, *ends.tolist()]))
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank, leftmost first, is merged until none is left.
 
-        Symbols form a doubly linked list; the queue holds pairs as they were when they arose, and
-        an entry whose symbols have changed since is skipped.
+        Symbols form a doubly linked list. The queue holds ranks with the places of their pairs;
+        `waiting` has each place's newest entry, and an entry that is not the newest is skipped.
         """
-        symbols = [self.byte_ids[b] for b in word]
+        symbols = [*map(self.byte_ids.__getitem__, word)]
         n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_of, rules, push, pop = self.rank_of.get, self.rules, heapq.heappush, heapq.heappop
-        # a queue entry is rank and place in one number; the rank tells the pair
-        queue = [
-            rank << _PLACE_BITS | at
-            for at, pair in enumerate(itertools.pairwise(symbols))
-            if (rank := rank_of(pair)) is not None
+        if n == 1:
+            return symbols
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        rank_of, push, pop = self.rank_of.get, heapq.heappush, heapq.heappop
+        bits = n.bit_length()
+        places = (1 << bits) - 1
+        waiting = [
+            _NONE if (rank := rank_of(left << _ID_BITS | right)) is None else rank << bits | at
+            for at, (left, right) in enumerate(itertools.pairwise(symbols))
         ]
+        queue = [entry for entry in waiting if entry >= 0]
+        if not queue:
+            return symbols
         heapq.heapify(queue)
+        waiting.append(_NONE)
         while queue:
             entry = pop(queue)
-            at = entry & _PLACES
-            left, right, merged = rules[entry >> _PLACE_BITS]
-            other = after[at]
-            if symbols[at] != left or other >= n or symbols[other] != right:
+            at = entry & places
+            if waiting[at] != entry:
                 continue
-            symbols[at], symbols[other] = merged, _DEAD
+            symbols[at] = merged = self.merged[entry >> bits]
+            other = after[at]
+            symbols[other] = waiting[other] = waiting[at] = _NONE
             after[at] = following = after[other]
             if following < n:
                 before[following] = at
-                if (rank := rank_of((merged, symbols[following]))) is not None:
-                    push(queue, rank << _PLACE_BITS | at)
-            if (preceding := before[at]) >= 0:
-                if (rank := rank_of((symbols[preceding], merged))) is not None:
-                    push(queue, rank << _PLACE_BITS | preceding)
-        return [s for s in symbols if s != _DEAD]
+                rank = rank_of(merged << _ID_BITS | symbols[following])
+                if rank is not None:
+                    waiting[at] = entry = rank << bits | at
+                    push(queue, entry)
+            preceding = before[at]
+            if preceding >= 0:
+                rank = rank_of(symbols[preceding] << _ID_BITS | merged)
+                if rank is None:
+                    waiting[preceding] = _NONE
+                else:
+                    waiting[preceding] = entry = rank << bits | preceding
+                    push(queue, entry)
+        return [s for s in symbols if s >= 0]
+
+    def _learn(self, distinct: set[str]) -> None:
+        """Have `known` hold packed ids of these pieces. The words of those that are not
+        remembered are merged together."""
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        rest = distinct.difference(known)
+        unknown = list(rest.difference(older))
+        known.update((p, older[p]) for p in rest if p in older)
+        # letters alone, with or without a blank before them, are one word
+        split = [
+            [p] if p.isascii() and p[p[0] == " ":].isalpha() else self.words(p) for p in unknown
+        ]
+        words = list(dict.fromkeys(itertools.chain.from_iterable(split)))
+        ids_of = dict(zip(words, self.merge_many([w.encode() for w in words]), strict=True))
+        for piece, parts in zip(unknown, split, strict=True):
+            known[piece] = (
+                ids_of[piece] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
+            )
+
+    def _forget_long(self, distinct: set[str]) -> None:
+        """Pieces of a chunk are remembered if they are short: up to 2 * `REMEMBERED` of them and
+        a chunk's."""
+        for piece in [p for p in distinct if len(p) > REMEMBERED_CHARS]:
+            self.known.pop(piece, None)
+
+    def encode_many(self, texts: Iterable[str]) -> list[bytes]:
+        """Every whole text's ids, packed as little-endian unsigned 32-bit integers."""
+        packed: list[list[bytes]] = []
+        chunk: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def flush():
+            distinct = set().union(*(p for _, p in chunk))
+            self._learn(distinct)
+            ids_of = self.known.__getitem__
+            for k, parts in chunk:
+                packed[k].append(b"".join(map(ids_of, parts)))
+            self._forget_long(distinct)
+            chunk.clear()
+
+        for text in texts:
+            packed.append([])
+            parts = self.added_rule.split(text) if self.added_rule else [text]
+            for k, part in enumerate(parts):
+                if k % 2:
+                    if chunk:
+                        flush()
+                        size = 0
+                    packed[-1].append(self.added[part])
+                    continue
+                for window in windows(part, WINDOW_CHARS) if part else ():
+                    chunk.append((len(packed) - 1, pieces(window)))
+                    size += len(window)
+                    if size >= CHUNK_CHARS:
+                        flush()
+                        size = 0
+        if chunk:
+            flush()
+        return [b"".join(p) for p in packed]
 
     def encode(self, text: str) -> bytes:
-        """The whole text's ids, packed as little-endian unsigned 32-bit integers."""
-        parts = self.added_rule.split(text) if self.added_rule else [text]
-        packed = []
-        for k, part in enumerate(parts):
-            if k % 2:
-                packed.append(self.added[part])
-                continue
-            for window in windows(part, WINDOW_CHARS) if part else ():
-                packed.append(b"".join(map(self.piece_ids.__getitem__, pieces(window))))
-        return b"".join(packed)
+        """One text's ids."""
+        return self.encode_many([text])[0]
+
+    def decoded(self, packed: bytes) -> Iterator[str]:
+        """The text of packed ids in parts: their byte strings one after the other."""
+        decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")
+        ids = np.frombuffer(packed, dtype="<u4")
+        for at in range(0, len(ids), DECODED_IDS):
+            part = ids[at:at + DECODED_IDS].tolist()
+            yield decoder.decode(b"".join(map(self.strings.__getitem__, part)))
+        yield decoder.decode(b"", final=True)
 
     def decode(self, packed: bytes) -> str:
-        """The text of packed ids: their byte strings one after the other."""
-        ids = np.frombuffer(packed, dtype="<u4").tolist()
-        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", errors="replace")
+        """The whole text of packed ids."""
+        return "".join(self.decoded(packed))
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -155,7 +301,7 @@ def encode(documents: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = model(tokenizer)
         for batch in batches:
-            ids = [vocabulary.encode(t.as_py() or "") for t in batch.column(1)]
+            ids = vocabulary.encode_many(t.as_py() or "" for t in batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"]
             )
@@ -184,10 +330,37 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return map_batches(rows, run, "doc_id long, ids binary, text string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) of rows with ids and their text."""
-    return decoded.select(
-        "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+def round_trip(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): every whole text's packed ids as
+    `encode` has them, and digests of them and of the text that they decode to.
+
+    One function does all of it, so that a task has one Python worker with one vocabulary, and
+    texts and ids cross to Python and back once. A null text counts as an empty one. Every input
+    row gives one row, repeated rows and null ids too; other columns are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = model(tokenizer)
+        for batch in batches:
+            ids = vocabulary.encode_many(t.as_py() or "" for t in batch.column(1))
+            marks, texts = [], []
+            for packed in ids:
+                digest = hashlib.sha256()
+                for part in vocabulary.decoded(packed):
+                    digest.update(part.encode())
+                marks.append(hashlib.sha256(packed).hexdigest())
+                texts.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(ids, pa.binary()),
+                    pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array(marks, pa.string()), pa.array(texts, pa.string()),
+                ],
+                ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_batches(
+        rows, run,
+        "doc_id long, ids binary, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

@@ -279,14 +279,17 @@ _QUALITY = f"""
 """
 
 
-_MERKLE_MANIFEST = """
-    WITH RECURSIVE crc_steps(i, v, k) AS (
+#: Common table expressions with the table of CRC-32 for each byte.
+_CRC_TABLE = """crc_steps(i, v, k) AS (
         SELECT i, i, 0 FROM range(256) t(i)
         UNION ALL
         SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1
         FROM crc_steps WHERE k < 8
     ),
-    crc AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8),
+    crc AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8),"""
+
+_MERKLE_MANIFEST = f"""
+    WITH RECURSIVE {_CRC_TABLE}
     marked AS (
         SELECT row_number() OVER () AS i, d.*, coalesce(xor(list_reduce(
                 list_prepend(4294967295::BIGINT, list_transform(
@@ -418,6 +421,68 @@ _BENCHMARK_DECONTAMINATION = f"""
     FROM words LEFT JOIN hits USING (i) LEFT JOIN named USING (i)
 """
 
+_SPELLING_VARIANTS = f"""
+    WITH RECURSIVE {_CRC_TABLE}
+    runs AS (
+        SELECT doc_id, run, count(*) AS c
+        FROM (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+            FROM documents
+        ) WHERE length(run) >= 6 GROUP BY doc_id, run
+    ),
+    hashed AS (
+        SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+            string_split(coalesce(doc_id::VARCHAR, 'null') || ':' || run, ''),
+            lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT]
+                           ELSE [195::BIGINT, ord(x)::BIGINT - 64] END))),
+            lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) AS h
+        FROM runs, crc
+    ),
+    words AS (
+        SELECT word, sum(c)::BIGINT AS n
+        FROM (
+            SELECT c, CASE WHEN h % 199 = 0
+                      THEN substr(run, 1, (h % length(run))::INT)
+                           || substr(run, (h % length(run))::INT + 2)
+                      ELSE run END AS word
+            FROM hashed
+        ) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+    ),
+    places AS (SELECT word, n, unnest(range(0, length(word))) AS j FROM words),
+    masks AS (
+        SELECT word, n, substr(word, 1, j) || '*' || substr(word, j + 2) AS mask FROM places
+    ),
+    shorter AS (
+        SELECT DISTINCT p.word, p.n, w.word AS near, w.n AS near_n
+        FROM places p JOIN words w ON w.word = substr(p.word, 1, j) || substr(p.word, j + 2)
+    ),
+    near AS (
+        SELECT a.word, b.word AS near, b.n AS near_n
+        FROM masks a JOIN masks b ON a.mask = b.mask AND a.word <> b.word
+        UNION ALL SELECT word, near, near_n FROM shorter
+        UNION ALL SELECT near, word, n FROM shorter
+    ),
+    best AS (
+        SELECT word, count(*) AS n_near,
+               first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+        FROM near GROUP BY word
+    ),
+    formed AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN near_n >= 5 * n THEN near END AS form,
+               CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+        FROM words LEFT JOIN best USING (word)
+    ),
+    chains(word, root, form) AS (
+        SELECT word, word, form FROM formed
+        UNION ALL
+        SELECT c.word, f.word, f.form FROM chains c JOIN formed f ON f.word = c.form
+    )
+    SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN chains c ON c.word = f.word AND c.form IS NULL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Left out: what rests on 64-bit xxHash, on a vocabulary's merges or on n-gram profiles."""
@@ -430,4 +495,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_url_filter": _url_filter(),
         "op11_merkle_manifest": _MERKLE_MANIFEST,
         "op12_benchmark_decontamination": _BENCHMARK_DECONTAMINATION,
+        "op13_spelling_variants": _SPELLING_VARIANTS,
     }

@@ -109,8 +109,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
-    return bpe.digests(bpe.decode(encoded, tokenizer_path())).drop("ids")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from flowengine.llm import oracles, queries
 from tests.compare import rows, spark_rows
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
