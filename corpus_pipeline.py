@@ -46,8 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256) of every document of the mix: packed
     token ids, and digests of them and of the text that they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.round_trip(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
