@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import zipfile
@@ -25,6 +27,7 @@ _sent: set[str] = set()
 
 #: Bytes that a function sees at a time, if no row has more.
 BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +61,28 @@ def send_package(spark: SparkSession) -> None:
 
 
 def map_batches(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """`mapInArrow` with a function that uses this package and sees batches of bounded size."""
+    """`mapInArrow` with a function that uses this package and sees batches of bounded size.
+
+    From here on the session hands batches of at most `BATCH_BYTES` to Python functions, if no row
+    has more. A worker gives memory back when its task ends, as it may wait for long beside
+    other tasks.
+    """
     send_package(frame.sparkSession)
-    return frame.mapInArrow(lambda batches: run(_cut(batches)), schema)
+    frame.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(_cut(batches))
+        finally:
+            _give_back()
+
+    return frame.mapInArrow(bounded, schema)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not on every platform
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
