@@ -102,47 +102,42 @@ _LINE_DEDUP = f"""
         SELECT i, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM rows
         WHERE text IS NOT NULL
     ),
-    parsed AS (
-        SELECT i, document, place, string_split_regex(
-            regexp_replace(trim(line, {_BLANKS}), '{_WORD}*[0-9]{_WORD}*', '<*>', 'g'),
-            '{_SPACE}+') AS tokens
+    trimmed AS (
+        SELECT i, document, place, trim(line, {_BLANKS}) AS line
         FROM lines JOIN identities USING (i)
     ),
-    known AS (SELECT *, tokens[1:3] AS start, len(tokens) AS n FROM parsed
-              WHERE len(tokens) >= 3),
-    distinct_lines AS (
-        SELECT DISTINCT n, start, tokens, count(*) OVER (PARTITION BY n, start) AS lines
-        FROM (SELECT DISTINCT n, start, tokens FROM known)
-    ),
-    votes AS (
-        SELECT n, start, lines, place, token, count(*) AS votes
-        FROM (SELECT n, start, lines, unnest(range(n)) AS place, unnest(tokens) AS token
-              FROM distinct_lines WHERE lines > 1)
+    parsed AS (
+        SELECT i, document, place, string_split_regex(line, '{_SPACE}+') AS raw,
+               string_split_regex(regexp_replace(line, '{_WORD}*[0-9]{_WORD}*', '<*>', 'g'),
+                                  '{_SPACE}+') AS tokens
+        FROM trimmed WHERE line <> ''
+    ),
+    known AS (
+        SELECT i, document, place, n, tokens[1:3] AS start, fixed >= 0.8 * n AS parsed,
+               CASE WHEN n >= 3 AND fixed >= 0.8 * n THEN tokens ELSE raw END AS own
+        FROM (SELECT *, len(tokens) AS n,
+                     len(list_filter(tokens, lambda x: x <> '<*>')) AS fixed FROM parsed)
+        WHERE n >= 3 OR length(array_to_string(raw, ' ')) >= 32
+    ),
+    firsts AS (
+        SELECT n, start, parsed, own, min(document) AS first FROM known GROUP BY ALL
+    ),
+    likes AS (
+        SELECT x.n, x.start, x.parsed, x.own, min(y.first) AS first
+        FROM firsts x JOIN firsts y ON x.n = y.n AND x.start = y.start AND y.first < x.first
+        WHERE x.parsed AND y.parsed AND x.n >= 3
+          AND len(list_filter(list_zip(x.own, y.own), lambda z: z[1] = z[2] AND z[1] <> '<*>'))
+              >= 0.8 * x.n
         GROUP BY ALL
     ),
-    fixed AS (SELECT * FROM votes WHERE votes * 2 > lines),
-    agreeing AS (
-        SELECT d.n, d.start, d.tokens, count(*) AS fixed_here,
-               count(*) FILTER (d.tokens[f.place + 1] = f.token) AS agreed
-        FROM distinct_lines d JOIN fixed f USING (n, start) GROUP BY ALL
-    ),
-    covered AS (
-        SELECT n, start, tokens FROM agreeing WHERE fixed_here >= n * 0.8 AND agreed = fixed_here
-    ),
-    templated AS (
-        SELECT k.i, k.document, k.place, k.n, k.start,
-               CASE WHEN c.tokens IS NULL THEN k.tokens END AS own
-        FROM known k LEFT JOIN covered c
-          ON k.n = c.n AND k.start = c.start AND k.tokens = c.tokens
-    ),
-    recurring AS (
-        SELECT n, start, own, min(document) AS first FROM templated
-        GROUP BY n, start, own HAVING count(DISTINCT document) >= 2
+    templates AS (
+        SELECT n, start, parsed, own, min(first) AS first
+        FROM (SELECT * FROM firsts UNION ALL SELECT * FROM likes) GROUP BY ALL
     ),
     dropped AS (
-        SELECT t.i, list(t.place) AS gone FROM templated t JOIN recurring r
-          ON t.n = r.n AND t.start = r.start AND t.own IS NOT DISTINCT FROM r.own
-        WHERE t.document <> r.first GROUP BY t.i
+        SELECT k.i, list(k.place) AS gone FROM known k JOIN templates t
+          ON k.n = t.n AND k.start = t.start AND k.parsed = t.parsed AND k.own = t.own
+        WHERE k.document > t.first GROUP BY k.i
     )
     SELECT doc_id,
            CASE WHEN gone IS NULL THEN text ELSE array_to_string(

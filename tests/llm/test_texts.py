@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import random
 import struct
 import zlib
 
@@ -252,8 +253,11 @@ def test_components_of_paths_stars_and_loops(spark):
 def test_templates_generalise_variable_fields(spark):
     rows = [(k, f"the main office saw user {name} logged in today\nown text {'abcdef'[k] * 5} stays right here")
             for k, name in enumerate(["ann", "bob", "cat", "dan", "eve", "fay"])]
-    rows.append((9, "user 77 paid 12 coins to user 31 at noon"))
-    rows.append((10, "user 5 paid 130 coins to user 2 at noon"))
+    rows.append((9, "user 77 paid 12 coins to the other user at noon"))
+    rows.append((10, "user 5 paid 130 coins to the other user at noon"))
+    # seven of ten tokens are fixed, which is too few
+    rows.append((11, "user 77 paid 12 coins to user 31 at noon"))
+    rows.append((12, "user 5 paid 130 coins to user 2 at noon"))
     frame = spark.createDataFrame([(*r, "en", "s", 1) for r in rows],
                                   "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r for r in line_templates.drop_recurring_lines(frame).collect()}
@@ -261,6 +265,7 @@ def test_templates_generalise_variable_fields(spark):
     assert all(got[k].text == rows[k][1].split("\n")[1] for k in range(1, 6))
     assert all("logged" not in got[k].text for k in range(1, 6))
     assert (got[10].text, got[10].n_dropped) == ("", 1) and got[9].n_dropped == 0
+    assert got[11].n_dropped == got[12].n_dropped == 0
 
 
 def test_lines_of_figures_are_compared_as_they_are(spark):
@@ -280,6 +285,68 @@ def test_lines_of_figures_are_compared_as_they_are(spark):
     assert got[3] == "1 2 3 4 5 6 7 9 net x" and got[5] == "other words of the last text"
 
 
+def dropped_lines(spark, texts):
+    frame = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts.items()],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    rows = line_templates.drop_recurring_lines(frame).collect()
+    return {r.doc_id: r.n_dropped for r in rows if r.n_dropped}
+
+
+def test_lines_with_different_contents_stay(spark):
+    """Too few fixed tokens, in a line alone as well as in a crowded leaf."""
+    line = "total cost of item {} {} {} shown"
+    assert dropped_lines(spark, {1: line.format(12, 13, 14), 2: line.format(98, 97, 96)}) == {}
+    many = {k: line.format(k, k + 1, k + 2) for k in range(20)}
+    assert dropped_lines(spark, many) == {}
+
+
+def test_more_lines_in_a_leaf_hide_none(spark):
+    """Each differs from the first in another field; unrelated lines share the leaf."""
+    words = "the red fox ran over one low hill last night".split()
+
+    def variant(at, word):
+        return " ".join(word if k == at else w for k, w in enumerate(words))
+
+    texts = {1: " ".join(words), 2: variant(5, "that"), 3: variant(8, "this"), 4: variant(4, "up")}
+    assert dropped_lines(spark, texts) == {2: 1, 3: 1, 4: 1}
+    others = {
+        100 + k: "the red fox " + " ".join(f"{c}{j}x".replace(str(j), "abcdefg"[j]) for j in range(7))
+        for k, c in enumerate("klmnopqrst")
+    }
+    assert dropped_lines(spark, others | texts) == {2: 1, 3: 1, 4: 1}
+
+
+def test_lines_against_all_pairs(spark):
+    """Random lines with one to four changed words, in crowded leaves."""
+    draw = random.Random(8)
+    texts = {}
+    for k in range(150):
+        n = draw.choice([3, 5, 6, 10, 16, 25])
+        words = ["in", "the", "end"] + [f"w{'abcdefghij'[j % 10]}{'xyz'[n % 3]}" for j in range(n - 3)]
+        for _ in range(draw.randrange(4)):
+            if n > 3:
+                words[draw.randrange(3, n)] = draw.choice(["one", "two", "7", "x9", "three"])
+        texts[k] = " ".join(words)
+
+    def masked(text):
+        return ["<*>" if any(c.isdigit() for c in w) else w for w in text.split()]
+
+    def fixed(a, b):
+        return sum(x == y != "<*>" for x, y in zip(a, b, strict=True))
+
+    want = {}
+    for k, text in texts.items():
+        own = masked(text)
+        for j in range(k):
+            other = masked(texts[j])
+            if text == texts[j] or (
+                len(own) == len(other) and own[:3] == other[:3]
+                and fixed(own, other) >= 0.8 * len(own)
+            ):
+                want[k] = 1
+    assert dropped_lines(spark, texts) == want
+
+
 def test_long_lines_without_blanks_recur(spark):
     passage = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"
     other = passage.replace("猫", "犬")
