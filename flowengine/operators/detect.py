@@ -100,11 +100,11 @@ def sliding_alerts(
     auth_threshold: int = schema.BRUTE_FORCE_THRESHOLD,
     ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """T3 and T4. On a stream both rules share one window state; in batch each has its own
-    aggregation, since a scan of a few columns costs less than carrying both metrics."""
-    if not flows.isStreaming:
-        scans = port_scan_alerts(flows, size, slide, scan_threshold)
-        return scans.unionByName(brute_force_alerts(flows, size, slide, auth_threshold, ports))
+    """Both rules share the state of a stream, and on a batch one pass over the rows."""
+    if not flows.isStreaming and size % slide == 0:
+        return _in_one_pass(
+            flows, None, None, size, slide, scan_threshold, auth_threshold, ports
+        )
     windows = W.sliding_windows_by_row(flows, size, slide, ports)
     rules = [
         replace(PORT_SCAN, threshold=scan_threshold),
@@ -123,17 +123,49 @@ def all_alerts(
     auth_threshold: int = schema.BRUTE_FORCE_THRESHOLD,
     ports: Iterable[int] = schema.AUTH_PORTS,
 ) -> DataFrame:
-    """The alerts of all three rules over a batch of flows."""
+    """The alerts of all three rules over a batch of flows, read once.
+
+    Only where 32 slides or fewer hold no whole number of flood windows, those have a pass of
+    their own.
+    """
     if flows.isStreaming:
         raise ValueError("run flood_alerts and sliding_alerts as two streaming queries")
+    if W.fits_in_a_stretch(flood_size, size, slide):
+        return _in_one_pass(
+            flows, flood_size, flood_threshold, size, slide, scan_threshold, auth_threshold, ports
+        )
     floods = flood_alerts(flows, flood_size, flood_threshold)
     return floods.unionByName(
         sliding_alerts(flows, size, slide, scan_threshold, auth_threshold, ports)
     )
 
 
-def _alert(rule: Rule, size: int) -> list[Column]:
-    metric = F.col(rule.metric)
+def _in_one_pass(
+    flows: DataFrame, flood_size: int | None, flood_threshold: int | None, size: int, slide: int,
+    scan_threshold: int, auth_threshold: int, ports: Iterable[int],
+) -> DataFrame:
+    """All rules on the windows of one pass; without a size of its windows no flood rule."""
+    found, _ = W.all_windows(
+        W.positions(flows, "dst_port"), flood_size, size, slide, flood_threshold, scan_threshold,
+        auth_threshold, ports,
+    )
+    windows = found.withColumn("window_end", F.timestamp_seconds("window_end"))
+    tumbling, metric = F.col("tumbling"), F.col("rows")
+    scan = replace(PORT_SCAN, threshold=scan_threshold)
+    login = replace(BRUTE_FORCE, threshold=auth_threshold)
+    raised = [(~tumbling, F.col("distinct_ports"), scan, size), (~tumbling, metric, login, size)]
+    if flood_size is not None:
+        flood = replace(FLOOD, threshold=flood_threshold)
+        raised.append((tumbling, metric, flood, flood_size))
+    candidates = F.array(*[
+        F.when(kind & (metric >= rule.threshold), F.struct(*_alert(rule, seconds, metric)))
+        for kind, metric, rule, seconds in raised
+    ])
+    return windows.select(F.inline(F.array_compact(candidates)))
+
+
+def _alert(rule: Rule, size: int, metric: Column | None = None) -> list[Column]:
+    metric = F.col(rule.metric) if metric is None else metric
     end = F.col("window_end")
     return [
         alert_id(rule.tag, end, F.col("src_ip")).alias("alert_id"),

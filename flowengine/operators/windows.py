@@ -3,8 +3,8 @@
 Windows are event-time, epoch-aligned and half-open: a row exactly at a window's end
 belongs to the next window.
 
-Sliding windows come in three formulations with equal results. `window()` copies every
-row into each window holding it; it is the one for streams. Panes, on batch frames,
+Sliding windows come in three formulations with equal results. `window()` copies what it
+is given into each window holding it: panes of rows, on streams. Panes, on batch frames,
 reduce the rows to one per (slide-long pane, source, port) and copy only those; they give
 every metric of every window. Stretches serve rules with a threshold: one row per source
 and stretch of time holds the counts of all windows ending there, side by side, and only
@@ -13,6 +13,7 @@ the windows reaching the threshold ever become rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -73,15 +74,15 @@ def sliding_windows_by_row(
 ) -> DataFrame:
     """The same through `window()`: for streams, and for sizes the slide does not divide.
 
-    Ports are counted by two chained aggregations, first per port and then per source,
-    so no task ever holds a source's port set: state and shuffle rows are plain counters
-    and a scanning source spreads over the cluster by port.
+    Three chained aggregations: per port and pane, the longest stretch of time that is in a
+    window as a whole; per port and window, of closed panes only; and per source. No task ever
+    holds a source's port set: state and shuffle rows are plain counters, a scanning source
+    spreads over the cluster by port, and what is copied into each window is a port's pane.
     """
-    per_port = flows.groupBy(
-        F.window("event_ts", f"{size} seconds", f"{slide} seconds"),
-        source_or_unknown().alias("src_ip"),
-        "dst_port",
-    ).agg(F.count("*").alias("flows"))
+    ports = _panes(flows, size, slide, source_or_unknown().alias("src_ip"), F.col("dst_port"))
+    per_port = ports.groupBy(_window_of_panes(size, slide), "src_ip", "dst_port").agg(
+        F.sum("flows").alias("flows")
+    )
     return (
         per_port.groupBy("window", "src_ip")
         .agg(
@@ -102,6 +103,17 @@ def sliding_windows_by_row(
     )
 
 
+def _panes(flows: DataFrame, size: int, slide: int, *keys: Column) -> DataFrame:
+    """Rows per key and pane; a pane's event time is its last instant."""
+    pane = F.window("event_ts", f"{math.gcd(size, slide)} seconds")
+    counted = flows.groupBy(pane, *keys).agg(F.count("*").alias("flows"))
+    return counted.withColumn("pane_ts", F.window_time("window")).drop("window")
+
+
+def _window_of_panes(size: int, slide: int) -> Column:
+    return F.window("pane_ts", f"{size} seconds", f"{slide} seconds")
+
+
 def port_windows(
     flows: DataFrame,
     size: int = schema.SLIDING_SECONDS,
@@ -112,7 +124,7 @@ def port_windows(
     if flows.isStreaming or size % slide:
         windows = sliding_windows_by_row(flows, size, slide)
         return windows.filter(F.col("distinct_ports") >= threshold)
-    windows = distinct_port_counts(_positions(flows, "dst_port"), size, slide, threshold)
+    windows = distinct_port_counts(positions(flows, "dst_port"), size, slide, threshold)
     return as_instants(windows, size)
 
 
@@ -129,10 +141,10 @@ def auth_windows(
     """
     attempts = flows.filter(is_auth_port(auth_ports))
     if flows.isStreaming or size % slide:
-        window = F.window("event_ts", f"{size} seconds", f"{slide} seconds")
+        panes = _panes(attempts, size, slide, source_or_unknown().alias("src_ip"))
         windows = (
-            attempts.groupBy(window, source_or_unknown().alias("src_ip"))
-            .agg(F.count("*").alias("auth_attempts"))
+            panes.groupBy(_window_of_panes(size, slide), "src_ip")
+            .agg(F.sum("flows").alias("auth_attempts"))
             .filter(F.col("auth_attempts") >= threshold)
         )
         return windows.select(
@@ -141,11 +153,12 @@ def auth_windows(
             "src_ip",
             "auth_attempts",
         )
-    windows = row_counts(_positions(attempts), size, slide, threshold)
+    windows = row_counts(positions(attempts), size, slide, threshold)
     return as_instants(windows.withColumnRenamed("rows", "auth_attempts"), size)
 
 
-def _positions(flows: DataFrame, *columns: str) -> DataFrame:
+def positions(flows: DataFrame, *columns: str) -> DataFrame:
+    """(position, src_ip, ...): the seconds of each row, and its source or `UNKNOWN`."""
     return flows.select(
         F.unix_seconds("event_ts").alias("position"), source_or_unknown().alias("src_ip"), *columns
     )
@@ -193,12 +206,14 @@ def _stretch(size: int, slide: int) -> int:
     return slide * min(2 * (size // slide), SIDE_BY_SIDE)
 
 
-def _run(size: int, slide: int) -> int:
+def _run(size: int, slide: int, stretch: int | None = None) -> int:
     # bits of a window: panes that all windows of a stretch hold share one bit
-    return min(size // slide, _stretch(size, slide) // slide)
+    return min(size // slide, (stretch or _stretch(size, slide)) // slide)
 
 
-def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> DataFrame:
+def _in_stretches(
+    rows: DataFrame, size: int, slide: int, *columns: str, stretch: int | None = None
+) -> DataFrame:
     """Rows with each stretch that has windows holding them, and their pane's bit there.
 
     A stretch has the windows whose last pane it contains. Bit 0 is the first pane of its
@@ -207,7 +222,8 @@ def _in_stretches(rows: DataFrame, size: int, slide: int, *columns: str) -> Data
     holds too are one bit.
     """
     pane = F.col("pane")
-    reach, stretch, run = size - slide, _stretch(size, slide), _run(size, slide)
+    stretch = stretch or _stretch(size, slide)
+    reach, run = size - slide, _run(size, slide, stretch)
     nth = F.expr(f"int((pane - stretch + {reach}) div {slide})")
     bit = F.greatest(F.least(nth, F.lit(run - 1)), nth - (size // slide - run))
     stretches = F.sequence(
@@ -269,37 +285,113 @@ def _reached(
     )
 
 
-def port_and_row_counts(
-    rows: DataFrame, size: int, slide: int, min_ports: int, min_rows: int
-) -> DataFrame:
-    """Windows over (position, src_ip, dst_port) with at least `min_ports` distinct ports or
-    `min_rows` rows, and both figures of each.
-
-    One pass: a port's rows in each window of a stretch are counted next to its mask.
+def all_windows(
+    rows: DataFrame,
+    bucket: int | None,
+    size: int,
+    slide: int,
+    min_bucket: int | None,
+    min_ports: int,
+    min_rows: int,
+    counted_ports: Iterable[int] | None = None,
+) -> tuple[DataFrame, Column]:
+    """Tumbling windows of `bucket` (none without one) and sliding ones over (position, src_ip,
+    dst_port), in one pass: those with at least `min_bucket` rows, and those with at least
+    `min_ports` distinct ports or `min_rows` rows, of which only the ones to `counted_ports`
+    count if given.
+
+    Returns (tumbling, window_end, src_ip, distinct_ports, rows, last), where `last` is one of the
+    positions in or before the window's stretch, and the last position of all.
+    A port's rows are first summed per stretch: a mask of its panes, and its rows in each window;
+    then a source's ports are. Stretches are whole buckets long, which is possible where
+    `fits_in_a_stretch` says so. The last position comes from the sums, too, and so from the same
+    shuffle.
     """
-    numbers = range(_stretch(size, slide) // slide)
-    run = _run(size, slide)
+    if bucket is None:
+        stretch, buckets = _stretch(size, slide), range(0)
+    else:
+        stretch = _common_stretch(bucket, size, slide)
+        if stretch is None:
+            raise ValueError(f"no stretch of {SIDE_BY_SIDE} slides or fewer holds whole buckets")
+        buckets = range(stretch // bucket)
+        rows = rows.withColumn("bucket", pane_of(F.col("position"), bucket))
+    numbers, run = range(stretch // slide), _run(size, slide, stretch)
+    carried = ["dst_port", "position", *(["bucket"] if bucket else [])]
     of_ports = (
-        _in_stretches(rows, size, slide, "dst_port")
+        _in_stretches(rows, size, slide, *carried, stretch=stretch)
         .groupBy("src_ip", "dst_port", "stretch")
         .agg(
+            F.max("position").alias("last"),
             F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"),
             *[
                 F.expr(f"count(CASE WHEN bit >= {n} AND bit < {n + run} THEN 1 END) AS rows_{n}")
                 for n in numbers
             ],
+            # rows from before a stretch are in buckets before it
+            *[
+                F.expr(f"count(CASE WHEN bucket = stretch + {k * bucket} THEN 1 END) AS bucket_{k}")
+                for k in buckets
+            ],
         )
     )
-    known = "dst_port IS NOT NULL AND (mask & {mask}L) != 0"
+    seen = "dst_port IS NOT NULL AND (mask & {mask}L) != 0"
+    counts_port = F.lit(True) if counted_ports is None else is_auth_port(counted_ports)
     counts = of_ports.groupBy("src_ip", "stretch").agg(
+        F.max("last").alias("last"),
         *[
-            F.expr(f"count(CASE WHEN {known.format(mask=((1 << run) - 1) << n)} THEN 1 END)")
+            F.expr(f"count(CASE WHEN {seen.format(mask=((1 << run) - 1) << n)} THEN 1 END)")
             .alias(f"distinct_ports_{n}")
             for n in numbers
         ],
-        *[F.sum(f"rows_{n}").alias(f"rows_{n}") for n in numbers],
+        *[
+            F.sum(F.when(counts_port, F.col(f"rows_{n}")).otherwise(0)).alias(f"rows_{n}")
+            for n in numbers
+        ],
+        *[F.sum(f"bucket_{k}").alias(f"bucket_{k}") for k in buckets],
+    )
+    # asked for with all sums, as the windows with their last position are, so that one shuffle
+    # serves both
+    everything = F.struct(F.col("last").alias("through"), *counts.columns)
+    last = counts.select(F.max(everything)).scalar()["through"]
+    least = {"bucket": (buckets, min_bucket), "distinct_ports": (numbers, min_ports),
+             "rows": (numbers, min_rows)}
+    most = " OR ".join(
+        f"greatest(0, {', '.join(f'{name}_{n}' for n in those)}) >= {at_least}"
+        for name, (those, at_least) in least.items() if those
+    )
+    found = [
+        f"struct(true AS tumbling, stretch + {(k + 1) * bucket} AS window_end,"
+        f" CAST(NULL AS bigint) AS distinct_ports, bucket_{k} AS rows)"
+        for k in buckets
+    ] + [
+        f"struct(false AS tumbling, stretch + {(n + 1) * slide} AS window_end,"
+        f" distinct_ports_{n} AS distinct_ports, rows_{n} AS rows)"
+        for n in numbers
+    ]
+    reached = f"distinct_ports >= {min_ports} OR rows >= {min_rows}"
+    if bucket:
+        reached = f"CASE WHEN tumbling THEN rows >= {min_bucket} ELSE {reached} END"
+    windows = (
+        counts.filter(F.expr(most))
+        .select("src_ip", "last", F.expr(f"inline(array({', '.join(found)}))"))
+        .filter(F.expr(reached))
+        .select("tumbling", "window_end", "src_ip", "distinct_ports", "rows", "last")
     )
-    return _reached(counts, numbers, slide, {"distinct_ports": min_ports, "rows": min_rows})
+    return windows, last
+
+
+def fits_in_a_stretch(bucket: int, size: int, slide: int) -> bool:
+    """Whether `all_windows` can serve tumbling windows of `bucket` next to these sliding ones."""
+    return size % slide == 0 and _common_stretch(bucket, size, slide) is not None
+
+
+def _common_stretch(bucket: int, size: int, slide: int) -> int | None:
+    """About two window lengths, in whole buckets and slides; None if that is too many slides."""
+    common = math.lcm(bucket, slide)
+    if common // slide > SIDE_BY_SIDE:
+        return None
+    wanted = -(-_stretch(size, slide) // common) * common
+    return min(wanted, slide * SIDE_BY_SIDE // common * common)
 
 
 def pane_of(position: Column, slide: int) -> Column:

@@ -74,44 +74,3 @@ def attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("attack_no", "type", "ip", "start_idx", "duration")
     )
-
-
-# The published simulation of window designs.
-RUN = 2000
-_RUN_ATTACKS = (
-    ("BURST_FLOOD", "198.51.100.42", 300, 40),
-    ("STEALTH_SCAN", "203.0.113.88", 800, 150),
-)
-
-
-def simulation(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The simulation's numbered events and attacks, a run for each 2,000 rows of the table; an
-    address ends in its run's number."""
-    numbered = flows(spark, sf_dir).select("i")
-    at, run = F.col("i") % RUN, F.floor(F.col("i") / RUN)
-    (_, flood, flood_at, flood_for), (_, scan, scan_at, scan_for) = _RUN_ATTACKS
-    flooding = (at >= flood_at) & (at < flood_at + flood_for)
-    scanning = (at >= scan_at) & (at < scan_at + scan_for)
-    normal_ports = F.array(F.lit(80), F.lit(443), F.lit(22))
-    ip = F.when(flooding, flood).when(scanning, scan).otherwise(
-        F.concat(F.lit("192.168.1."), (at % 21 + 10).cast("string"))
-    )
-    port = F.when(flooding, 80).when(scanning, at - scan_at + 1).otherwise(
-        F.get(normal_ports, (at % 3).cast("int"))
-    )
-    events = numbered.select(
-        "i", F.concat_ws("/", ip, run.cast("string")).alias("ip"), port.cast("int").alias("port")
-    )
-    kinds = F.array(*(
-        F.struct(F.lit(k).alias("k"), F.lit(kind).alias("type"), F.lit(source).alias("ip"),
-                 F.lit(start).cast("bigint").alias("start"),
-                 F.lit(length).cast("bigint").alias("duration"))
-        for k, (kind, source, start, length) in enumerate(_RUN_ATTACKS)
-    ))
-    runs = numbered.select(run.alias("run")).distinct()
-    attacks = runs.select("run", F.inline(kinds)).select(
-        (F.col("run") * len(_RUN_ATTACKS) + F.col("k")).alias("attack_no"), "type",
-        F.concat_ws("/", "ip", F.col("run").cast("string")).alias("ip"),
-        (F.col("run") * RUN + F.col("start")).alias("start_idx"), "duration",
-    )
-    return events, attacks

@@ -6,6 +6,7 @@ thresholds are ordinary parameters of the operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +18,7 @@ from flowengine.operators import counts, detect, evaluate, layout, maintain, tra
 from flowengine.plans import adapter
 from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA, TIMESTAMP_FORMAT
 from flowengine.session import work_path
-from flowengine.sinks import catalog, files
+from flowengine.sinks import catalog, files, versions
 from flowengine.sources import flows as source
 from flowengine.sources.alerts import read_alerts, read_recent_alerts
 from flowengine.streaming import detection as streaming
@@ -140,10 +141,11 @@ def _register_tables(spark, sf):
         path = work_path(spark, f"flows-table-{fmt}")
         files.convert_flows(adapter.records(spark, sf), path, fmt)
         tables[f"flows_{fmt}"] = (fmt, path)
-    listed = catalog.register_tables(spark, "flow_analytics", tables)
+    database = f"flow_analytics_{uuid.uuid4().hex}"  # runs at the same time do not meet
+    listed = catalog.register_tables(spark, database, tables)
     answers = " UNION ALL ".join(
         f"SELECT '{name}' AS tableName, protocol, count(*) AS flows, sum(byte_count) AS bytes "
-        f"FROM flow_analytics.{name} GROUP BY protocol"
+        f"FROM {database}.{name} GROUP BY protocol"
         for name in tables
     )
     return spark.sql(answers).join(listed.select("tableName"), "tableName")
@@ -151,11 +153,17 @@ def _register_tables(spark, sf):
 
 def _describe_tables(spark, sf):
     """The columns that SQL sees of each registered table."""
-    _register_tables(spark, sf)
+    database = f"flow_analytics_{uuid.uuid4().hex}"
+    tables = {}
+    for fmt in ("csv", "orc", "parquet"):
+        path = work_path(spark, f"flows-table-{fmt}")
+        files.convert_flows(adapter.records(spark, sf), path, fmt)
+        tables[f"flows_{fmt}"] = (fmt, path)
+    catalog.register_tables(spark, database, tables)
     described = [
-        catalog.describe_table(spark, f"flow_analytics.flows_{fmt}").limit(len(FLOW_SCHEMA))
-        .select(F.lit(f"flows_{fmt}").alias("table"), "col_name", "data_type")
-        for fmt in ("csv", "orc", "parquet")
+        catalog.describe_table(spark, f"{database}.{name}").limit(len(FLOW_SCHEMA))
+        .select(F.lit(name).alias("table"), "col_name", "data_type")
+        for name in tables
     ]
     return reduce(DataFrame.unionByName, described)
 
@@ -208,20 +216,107 @@ def _first_rows(spark, sf):
 
 
 def _stream_kpis(spark, sf):
-    """Headline counts over what both streams have written."""
-    found = [query(spark, sf) for query in (_STREAMED_FLOODS, _STREAMED_SLIDING)]
-    return A.alert_kpis(reduce(DataFrame.unionByName, found))
-
-
-def _published_latencies(spark, sf):
-    """T9 on the published simulation: its 2,000 events, once for each 2,000 rows of the table,
-    every run with addresses of its own."""
-    events, attacks = adapter.simulation(spark, sf)
-    tumbling = evaluate.tumbling_count_alerts(events)
-    sliding = evaluate.sliding_count_alerts(events)
-    return evaluate.compare_windows(tumbling, sliding, attacks).select(
-        "design", "alerts", "attacks", F.round("mean_latency_s", 2).alias("mean_latency_s"),
-        F.round("mean_first_alert_s", 2).alias("mean_first_alert_s"),
+    """Headline counts of a live alert folder, brought up to date as alerts arrive."""
+    stored, live, kpis, checkpoint = (
+        work_path(spark, name) for name in ("alerts", "live-alerts", "kpis", "kpis-checkpoint")
+    )
+    files.append_rows(alerts(spark, sf), stored, ALERT_SCHEMA)
+    found = read_alerts(spark, stored)
+    flood = F.col("attack_type") == detect.FLOOD.attack_type
+    for arriving in (found.filter(flood), found.filter(~flood)):
+        files.append_rows(arriving, live, ALERT_SCHEMA)
+        streaming.refresh_kpis(spark, [live], kpis, checkpoint).awaitTermination()
+    return streaming.read_kpis(spark, kpis)
+
+
+def _stream_drops(spark, sf):
+    """A4/C20: what a stream counts of lines that it drops or cannot place."""
+    path, out = work_path(spark, "spoilt-lines"), work_path(spark, "drops-checkpoint")
+    rows, turn = adapter.flows(spark, sf), F.col("i") % 7
+    names = [f.name for f in FLOW_SCHEMA.fields]
+    spoilt = rows.withColumn(
+        "timestamp", F.when(turn == 1, "yesterday").when(turn != 2, F.col("timestamp"))
+    )
+    line = F.when(turn == 0, F.concat(F.lit("no object: "), "src_ip")).otherwise(
+        F.to_json(F.struct(*names))
+    )
+    spoilt.select(line.alias("value")).write.text(path)
+    flows = streaming.watermarked(source.stream_flows(spark, path, observe=True), LATENESS)
+    query = (
+        detect.flood_alerts(flows, **FLOOD).writeStream.format("noop")
+        .option("checkpointLocation", out).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    log = streaming.DropLog()
+    for progress in query.recentProgress:
+        log.record(progress)
+    return log.batches(spark).agg(
+        *[F.sum(c).alias(c) for c in ("lines", "malformed", "without_timestamp", "unreadable_timestamp")]
+    )
+
+
+def _versioned_store(spark, sf):
+    """B5 to B9 on one store, each as a version: alerts arrive twice, high ones are resolved, scans
+    are purged, the newest are retained, and the store is cleared."""
+    path, stored = work_path(spark, "alert-store"), work_path(spark, "alerts")
+    files.append_rows(alerts(spark, sf), stored, ALERT_SCHEMA)
+    found = read_alerts(spark, stored)
+    flood = F.col("attack_type") == detect.FLOOD.attack_type
+    for arriving in (found.filter(flood), found.filter(~flood)):
+        versions.append(spark, path, arriving)
+
+    def change(operation):
+        versions.change(spark, path, ALERT_SCHEMA, operation)
+
+    change(lambda rows: maintain.update_alerts(
+        rows, _resolutions(rows), tuple(RESOLUTION), {"retry_count": "retries"}
+    ))
+    change(lambda rows: maintain.purge(rows, "attack_type", detect.PORT_SCAN.attack_type))
+    change(lambda rows: maintain.retain_latest(rows, RETAINED))
+    change(lambda rows: rows.filter(F.lit(False)))
+    every = [
+        versions.read(spark, path, ALERT_SCHEMA, n).agg(
+            F.lit(n).cast("bigint").alias("version"), F.count("*").alias("alerts"),
+            F.count_if(F.col("status") == "RESOLVED").alias("resolved"),
+            F.coalesce(F.sum("metric_count"), F.lit(0)).alias("events"),
+        )
+        for n in versions.versions(spark, path)
+    ]
+    return reduce(DataFrame.unionByName, every)
+
+
+def _resolutions(stored):
+    """Updates that resolve every high alert, and one of an alert that does not exist."""
+    high = stored.filter(F.col("severity") == "HIGH").select("alert_id")
+    absent = high.limit(1).select(F.lit("ALT-NONE").alias("alert_id"))
+    values = {c: F.lit(v) for c, v in RESOLUTION.items()}
+    return high.union(absent).withColumns(values | {"retries": F.lit(1)})
+
+
+def _update_alerts(spark, sf):
+    """B7 in bulk: all high alerts resolved at once."""
+    path = work_path(spark, "alerts")
+    files.append_rows(alerts(spark, sf), path, ALERT_SCHEMA)
+    stored = read_alerts(spark, path)
+    changed = maintain.update_alerts(
+        stored, _resolutions(stored), tuple(RESOLUTION), {"retry_count": "retries"}
+    )
+    return changed.select(
+        "alert_id", "src_ip", "metric_count", "status", "resolved_at", "resolution_notes", "retry_count"
+    )
+
+
+def _bucketed_layout(spark, sf):
+    """Packets and flows of each source from a bucketed table, and its share of the flows to
+    the same port group, by a join of the table's groups without a shuffle."""
+    table = f"flows_bucketed_{uuid.uuid4().hex}"
+    files.write_bucketed(adapter.records(spark, sf), table, work_path(spark, "bucketed"), SHARDS)
+    rows = spark.table(table)
+    attempts = rows.filter(F.col("dst_port") == 22).groupBy("src_ip").agg(
+        F.count("*").alias("logins")
+    )
+    return traffic.packets_by_source(rows).join(attempts, "src_ip", "left").select(
+        "src_ip", "total_packets", F.coalesce("logins", F.lit(0)).alias("logins")
     )
 
 
@@ -342,6 +437,7 @@ def queries() -> dict[str, Query]:
         "describe_tables": _describe_tables,
         "hashed_layout": _hashed_layout,
         "ranged_layout": _ranged_layout,
+        "bucketed_layout": _bucketed_layout,
         "layout_report": _hash_report,
         "time_layout_report": _time_report,
         "storage_footprint": _footprint,
@@ -374,6 +470,8 @@ def queries() -> dict[str, Query]:
         "retain_latest": _on_alerts(maintain.retain_latest, n=RETAINED),
         "clear_alerts": _clear_alerts,
         "update_alert": _update_alert,
+        "update_alerts": _update_alerts,
+        "versioned_store": _versioned_store,
         "purge_label": _on_records(maintain.purge, column="label", value="BOTNET"),
         "purge_count": _on_records(maintain.purge_count, column="label", value="BOTNET"),
         # evaluation of window designs
@@ -383,11 +481,13 @@ def queries() -> dict[str, Query]:
         "match_alerts": _evaluated(lambda e, a: evaluate.match_alerts(_sliding(e), a)),
         "attack_detection": _evaluated(lambda e, a: evaluate.attack_detection(_sliding(e), a)),
         "compare_windows": _evaluated(
-            lambda e, a: evaluate.compare_windows(_tumbling(e), _sliding(e), a)
+            lambda e, a: evaluate.compare_designs(
+                evaluate.count_alerts(e, *BUCKET.values(), **BUFFER), a
+            )
         ),
-        "published_latencies": _published_latencies,
         # the same rules on streams
         "stream_flood_alerts": _STREAMED_FLOODS,
         "stream_sliding_alerts": _STREAMED_SLIDING,
         "stream_kpis": _stream_kpis,
+        "stream_drops": _stream_drops,
     }

@@ -152,25 +152,6 @@ def _borders(size: int) -> str:
     )
 
 
-# Run by run the published figures: 99, 99 and 199 events after an attack's start for the tumbling
-# design, 49 to 299 and 49 to 399 in steps of 50 for the sliding one.
-_SIMULATION = """
-    WITH runs AS (SELECT event_id // 2000 AS run, max(event_id) AS last FROM events GROUP BY 1),
-    expected AS (
-      SELECT run, last, design, first_at, unnest(latencies) AS latency FROM runs,
-        (VALUES ('TUMBLING', 300, [99]), ('TUMBLING', 800, [99, 199]),
-                ('SLIDING', 300, list_transform(range(6), lambda k: 49 + 50 * k)),
-                ('SLIDING', 800, list_transform(range(8), lambda k: 49 + 50 * k)))
-          AS v(design, first_at, latencies)
-    )
-    SELECT design, count(*) AS alerts, (SELECT 2 * count(*) FROM runs) AS attacks,
-           round(avg(latency) / 10.0, 2) AS mean_latency_s,
-           round(avg(CASE design WHEN 'TUMBLING' THEN 99 ELSE 49 END) / 10.0, 2)
-             AS mean_first_alert_s
-    FROM expected GROUP BY design
-"""
-
-
 def oracle_sql() -> dict[str, str]:
     packets = _flows(
         "SELECT src_ip, CAST(sum(packet_count) AS BIGINT) AS total_packets FROM flows GROUP BY src_ip"
@@ -306,6 +287,15 @@ def oracle_sql() -> dict[str, str]:
                       CAST(sum(byte_count) AS BIGINT) AS bytes FROM flows
                WHERE substr("timestamp", 1, 10) BETWEEN '2024-01-05' AND '2024-01-14' GROUP BY 1"""
         ),
+        "bucketed_layout": _flows(
+            """SELECT src_ip, CAST(sum(packet_count) AS BIGINT) AS total_packets,
+                      count(*) FILTER (dst_port = 22) AS logins FROM flows GROUP BY 1"""
+        ),
+        "stream_drops": _flows(
+            """SELECT count(*) AS lines, count(*) FILTER (i % 7 = 0) AS malformed,
+                      count(*) FILTER (i % 7 = 2) AS without_timestamp,
+                      count(*) FILTER (i % 7 = 1) AS unreadable_timestamp FROM flows"""
+        ),
         "time_layout_report": _flows(
             """SELECT shard, "rows",
                       CAST(round(CAST("rows" * 100.0 / sum("rows") OVER () AS DECIMAL(38, 9)), 2)
@@ -367,6 +357,30 @@ def oracle_sql() -> dict[str, str]:
                       CAST(CASE WHEN alert_id = id THEN 1 END AS INTEGER) AS retry_count
                FROM alerts, newest"""
         ),
+        "update_alerts": _alerts(
+            f"""SELECT alert_id, src_ip, metric_count,
+                      CASE WHEN severity = 'HIGH' THEN '{c.RESOLUTION['status']}' END AS status,
+                      CASE WHEN severity = 'HIGH' THEN '{c.RESOLUTION['resolved_at']}' END AS resolved_at,
+                      CASE WHEN severity = 'HIGH' THEN '{c.RESOLUTION['resolution_notes']}' END
+                        AS resolution_notes,
+                      CAST(CASE WHEN severity = 'HIGH' THEN 1 END AS INTEGER) AS retry_count
+               FROM alerts"""
+        ),
+        "versioned_store": _alerts(
+            f""", floods AS (SELECT * FROM alerts WHERE attack_type = 'DDoS_FLOOD'),
+               others AS (SELECT * FROM alerts WHERE attack_type <> 'PORT_SCAN'),
+               newest AS (SELECT * FROM others ORDER BY "timestamp" DESC, alert_id LIMIT {c.RETAINED}),
+               every AS (
+                 SELECT 1 AS version, metric_count, false AS done FROM floods UNION ALL
+                 SELECT 2, metric_count, false FROM alerts UNION ALL
+                 SELECT 3, metric_count, severity = 'HIGH' FROM alerts UNION ALL
+                 SELECT 4, metric_count, severity = 'HIGH' FROM others UNION ALL
+                 SELECT 5, metric_count, severity = 'HIGH' FROM newest)
+               SELECT v AS version, count(metric_count) AS alerts,
+                      count(*) FILTER (done) AS resolved,
+                      CAST(coalesce(sum(metric_count), 0) AS BIGINT) AS events
+               FROM range(1, 7) AS t(v) LEFT JOIN every ON version = v GROUP BY v"""
+        ),
         "purge_label": _flows(f"SELECT {RECORD} FROM flows WHERE label IS DISTINCT FROM 'BOTNET'"),
         "purge_count": _flows("SELECT count(*) AS deleted FROM flows WHERE label = 'BOTNET'"),
         "label_events": _evaluation(
@@ -393,7 +407,6 @@ def oracle_sql() -> dict[str, str]:
         "compare_windows": _evaluation(
             f"{_quality('tumbling', 'TUMBLING', 10.0)} UNION ALL {_quality('sliding', 'SLIDING', 5.0)}"
         ),
-        "published_latencies": _SIMULATION,
         "stream_flood_alerts": _windows(_FLOOD),
         "stream_sliding_alerts": _windows(f"{_SCAN} UNION ALL {_AUTH}"),
     }

@@ -14,6 +14,9 @@ from flowengine.operators.layout import digest_shard, shard_of
 from flowengine.operators.maintain import conform
 from flowengine.schema import ALERT_SCHEMA, FLOW_SCHEMA
 
+# Ranges of time that one write is cut into; beyond, files get longer.
+MOST_RANGES = 20_000
+
 # Fixed values.
 FORMAT_OPTIONS = {
     "orc": {"compression": "zlib", "orc.stripe.size": "67108864"},
@@ -54,7 +57,7 @@ def append_rows(rows: DataFrame, path: str, schema) -> None:
 
 
 def write_version(rows: DataFrame, path: str) -> None:
-    """The result of an update, delete or retention, as a new folder."""
+    """Changed rows as a new folder; `sinks.versions` also keeps track of which is in force."""
     rows.write.mode("errorifexists").parquet(path)
 
 
@@ -77,14 +80,51 @@ def read_hashed(spark: SparkSession, path: str, shards: int, value: str, key: st
     return rows.filter((F.col("shard") == shard) & (F.col(key) == value)).drop("shard")
 
 
-def write_ranged(rows: DataFrame, path: str, timestamp: str = "timestamp") -> None:
-    """One folder per day, each file in time order, so that a time range reads few
-    folders and, within them, few row groups."""
-    rows = rows.withColumn("day", F.substring(timestamp, 1, 10))
+def write_ranged(
+    rows: DataFrame, path: str, timestamp: str = "timestamp", ranges: int | None = None
+) -> None:
+    """One folder per day, and within it files of stretches of time that do not overlap.
+
+    Rows are dealt by ranges of the timestamp that Spark samples, so a day is spread over tasks by
+    its share of the rows; only an instant with more rows than a range is in several files. A time
+    range reads few folders and, by the files' own minima and maxima, few files of them. The number
+    of ranges comes from the plan's estimate of the size, if it is not given.
+    """
+    # a stable number apart for rows of one instant
+    apart = F.xxhash64(F.monotonically_increasing_id())
     (
-        rows.hint("rebalance", F.col("day"))
+        rows.withColumn("day", F.substring(timestamp, 1, 10)).withColumn("apart", apart)
+        .repartitionByRange(ranges or _ranges(rows), timestamp, "apart")
         .sortWithinPartitions("day", timestamp)
+        .drop("apart")
         .write.mode("errorifexists")
         .partitionBy("day")
         .parquet(path)
     )
+
+
+def _ranges(rows: DataFrame) -> int:
+    """Partitions of about the advisory size, by the plan's statistics."""
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    each = spark._jsparkSession.sessionState().conf().getConf(
+        spark._jvm.org.apache.spark.sql.internal.SQLConf.ADVISORY_PARTITION_SIZE_IN_BYTES()
+    )
+    return min(max(1, -(-size // each)), MOST_RANGES)
+
+
+def write_bucketed(
+    rows: DataFrame, table: str, path: str, buckets: int, key: str = "src_ip"
+) -> None:
+    """B10 as a table: rows bucketed and sorted by the key, so that grouping by it and joining
+    tables of the same buckets need no shuffle, and one value's rows are in one bucket's files.
+
+    Rows are dealt by bucket before the write, a file or a few for each; a bucket with a hot
+    key's rows is larger than the others, which no placement by key can avoid.
+    """
+    (
+        rows.repartition(buckets, key)
+        .write.mode("errorifexists").format("parquet").option("path", path)
+        .bucketBy(buckets, key).sortBy(key)
+        .saveAsTable(table)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from flowengine.functions.scalars import event_time
 from flowengine.functions.text import strip_blanks
@@ -10,6 +10,9 @@ from flowengine.schema import FLOW_SCHEMA
 
 _CORRUPT = "_corrupt_record"
 
+# Names of the metrics on lines and on flows that `parse_flow_json` has observed.
+OBSERVED = ("flow_lines", "flow_times")
+
 
 def with_event_time(flows: DataFrame) -> DataFrame:
     """Add `event_ts`, the instant every window operator works on."""
@@ -19,12 +22,15 @@ def with_event_time(flows: DataFrame) -> DataFrame:
 def rejected_flows(flows: DataFrame) -> DataFrame:
     """All flows, and those whose timestamp is missing or in no known form: no window operator
     can place them, so a monitor should watch the second number."""
-    return flows.agg(
-        F.count("*").alias("flows"),
+    return flows.agg(F.count("*").alias("flows"), *_unplaced())
+
+
+def _unplaced() -> list[Column]:
+    return [
         F.count_if(F.col("timestamp").isNull()).alias("without_timestamp"),
         F.count_if(F.col("timestamp").isNotNull() & F.col("event_ts").isNull())
         .alias("unreadable_timestamp"),
-    )
+    ]
 
 
 def read_flows_csv(spark: SparkSession, path: str, empty_as_null: bool = False) -> DataFrame:
@@ -61,12 +67,15 @@ def read_flows_columnar(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.schema(FLOW_SCHEMA).format(fmt).load(path)
 
 
-def parse_flow_json(lines: DataFrame) -> DataFrame:
+def parse_flow_json(lines: DataFrame, observe: bool = False) -> DataFrame:
     """One JSON object per line to flow rows, on batch and streaming frames.
 
     Anything but a well-formed object is dropped. All fields are read as text and cast
     afterwards, so a port sent as "22" is the same as 22 and a bad number is NULL
     instead of spoiling its row.
+
+    With `observe`, what is dropped or cannot be placed is counted on the way, in the metrics
+    named by `OBSERVED`: on a stream its listeners get them batch by batch.
     """
     raw = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in FLOW_SCHEMA.fields]
@@ -74,24 +83,32 @@ def parse_flow_json(lines: DataFrame) -> DataFrame:
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     # one element per line, filtered before it is spread out, so that a line is decoded once
-    objects = lines.filter(strip_blanks(F.col("value")).startswith("{")).select(
-        F.inline(
-            F.filter(
-                F.array(F.from_json("value", raw, options)), lambda row: row[_CORRUPT].isNull()
-            )
-        )
+    decoded = F.filter(
+        F.array(F.from_json("value", raw, options)), lambda row: row[_CORRUPT].isNull()
     )
-    return with_event_time(
+    is_object = strip_blanks(F.col("value")).startswith("{")
+    if observe:
+        kept = F.when(is_object, decoded).otherwise(F.array().cast(T.ArrayType(raw)))
+        objects = lines.select(kept.alias("kept")).observe(
+            OBSERVED[0], F.count("*").alias("lines"),
+            F.count_if(F.size("kept") == 0).alias("malformed"),
+        ).select(F.inline("kept"))
+    else:
+        objects = lines.filter(is_object).select(F.inline(decoded))
+    flows = with_event_time(
         objects.select(
             *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in FLOW_SCHEMA.fields]
         )
     )
+    return flows.observe(OBSERVED[1], *_unplaced()) if observe else flows
 
 
-def stream_flows(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def stream_flows(
+    spark: SparkSession, path: str, observe: bool = False, **options: str
+) -> DataFrame:
     """A4: an unbounded folder of JSON-line files. For other transports, hand the text
     frame of any source (column `value`) to `parse_flow_json`."""
-    return parse_flow_json(spark.readStream.options(**options).text(path))
+    return parse_flow_json(spark.readStream.options(**options).text(path), observe)
 
 
 def sample_head(flows: DataFrame, n: int = 5000, order: tuple[str, ...] = ("timestamp",)) -> DataFrame:

@@ -90,3 +90,33 @@ def test_updating_does_not_shuffle(spark, tmp_path):
     main, subquery = text.split("Subquery", 1)
     assert "Exchange" not in main
     assert "EqualTo(alert_id,ALT-1)" in subquery
+
+
+@pytest.mark.parametrize("name,reads", [
+    ("all_alerts", 1), ("sliding_alerts", 1), ("count_windows_sliding", 1), ("compare_windows", 2),
+    ("attack_detection", 2), ("match_alerts", 2),
+])
+def test_how_often_the_table_is_read(spark, name, reads):
+    """Scans that ran; an exchange that is used again reads nothing."""
+    frame = QUERIES[name](spark, SF)
+    text = final_plan(frame).split("== Initial Plan ==")[0]
+    scans = frame._jdf.queryExecution().executedPlan()
+    assert _scans(scans) == reads, text
+
+
+def _scans(node, seen=None):
+    """File scans below a plan node, each exchange once; subqueries included."""
+    seen = set() if seen is None else seen
+    name = node.nodeName()
+    if name.startswith("ReusedExchange") or name.startswith("ReusedSubquery"):
+        return 0
+    if name == "AdaptiveSparkPlan":
+        return _scans(node.executedPlan(), seen)
+    if name.endswith("QueryStage"):
+        return _scans(node.plan(), seen)
+    here = 1 if name.startswith("Scan parquet") else 0
+    below = node.children()
+    subqueries = node.subqueries()
+    return here + sum(_scans(below.apply(k), seen) for k in range(below.size())) + sum(
+        _scans(subqueries.apply(k), seen) for k in range(subqueries.size())
+    )

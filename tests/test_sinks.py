@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from flowengine.operators import layout
+from flowengine.operators import layout, traffic
 from flowengine.schema import FLOW_SCHEMA
 from flowengine.sinks import catalog, files
 from flowengine.sources import flows as source
@@ -78,6 +78,60 @@ def test_ranged_layout_splits_a_hot_day_and_prunes(spark, skewed, tmp_path, smal
     assert range_.count() == skewed.filter("timestamp like '2024-01-02%'").count()
 
 
+def test_files_of_a_day_do_not_overlap(spark, tmp_path):
+    """A third of the rows on one day; an hour of it is in a few of its files."""
+    i = F.col("id")
+    hot = i % 3 == 0
+    seconds = F.when(hot, 86_400 + i % 86_400).otherwise(i * 61 % (20 * 86_400))
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.date_format(F.timestamp_seconds(seconds + 1_704_067_200), "yyyy-MM-dd'T'HH:mm:ss")
+        .alias("timestamp"),
+        i.alias("byte_count"),
+    )
+    path = str(tmp_path / "ranged")
+    files.write_ranged(rows, path, ranges=30)
+    stored = spark.read.parquet(path)
+    spans = sorted(
+        (r.low, r.high)
+        for r in stored.groupBy(F.input_file_name().alias("file")).agg(
+            F.min("timestamp").alias("low"), F.max("timestamp").alias("high")
+        ).collect()
+    )
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    day = [s for s in spans if s[0].startswith("2024-01-02")]
+    hour = [s for s in day if s[0] <= "2024-01-02T12:59:59" and s[1] >= "2024-01-02T12:00:00"]
+    assert len(day) >= 8 and len(hour) <= 2
+    assert stored.drop("day").exceptAll(rows).count() == 0 and stored.count() == 60_000
+
+
+def test_bucketed_table_needs_no_shuffle(spark, skewed, tmp_path):
+    files.write_bucketed(skewed, "bucketed_flows", str(tmp_path / "bucketed"), 8)
+    table = spark.table("bucketed_flows")
+    assert table.exceptAll(skewed).count() == 0 and table.count() == skewed.count()
+
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    packets = traffic.packets_by_source(table)
+    ports = table.groupBy("src_ip").agg(F.count_distinct("dst_port").alias("ports"))
+    one = table.filter(F.col("src_ip") == "10.0.0.7")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        # else a plan that only filters does not say which buckets it reads
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    }
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert "Exchange hash" not in plan(packets.join(table.select("src_ip", "label"), "src_ip"))
+        assert "Exchange hash" not in plan(packets.join(ports, "src_ip"))
+        assert "SelectedBucketsCount: 1 out of 8" in plan(one) and one.count() == 100
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 def test_layout_report_by_digest(spark, skewed):
     report = layout.layout_report(skewed, layout.shard_of("src_ip", 8), 8)
     got = {r.shard: r.rows for r in report.collect()}

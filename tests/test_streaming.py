@@ -108,3 +108,83 @@ def test_statistics_from_a_drained_stream(spark, tmp_path):
     found = streaming.drain(spark, detect.flood_alerts(flows, threshold=25), "drained")
     total = {r.dimension: r["count"] for r in A.alert_statistics(found).collect() if r.value is None}
     assert total == {"total": found.count()} and found.count() > 0
+
+
+def keep(spark, tmp_path, rows, name):
+    """Store alerts in the live folder."""
+    from flowengine.schema import ALERT_SCHEMA
+    from flowengine.sinks import files
+
+    frame = spark.createDataFrame(
+        [(f"{name}{k}", kind) for k, kind in enumerate(rows)], "alert_id string, attack_type string"
+    )
+    files.append_rows(frame, str(tmp_path / "live"), ALERT_SCHEMA)
+
+
+def test_kpis_grow_with_the_alerts_across_restarts(spark, tmp_path):
+    """Each alert file is read once; a batch that is repeated counts once."""
+    live, store, checkpoint = (str(tmp_path / n) for n in ("live", "kpis", "checkpoint"))
+
+    def refresh():
+        query = streaming.refresh_kpis(spark, [live], store, checkpoint)
+        query.awaitTermination()
+        return sum(p.numInputRows for p in query.recentProgress)
+
+    assert tuple(streaming.read_kpis(spark, store).first()) == (0, 0, 0, 0)
+    keep(spark, tmp_path, ["DDoS_FLOOD", "PORT_SCAN", "PORT_SCAN", None], "a")
+    assert refresh() == 4
+    keep(spark, tmp_path, ["BRUTE_FORCE", "DDoS_FLOOD"], "b")
+    assert refresh() == 2 and refresh() == 0
+    want = A.alert_kpis(streaming.read_alert_folders(spark, live)).first()
+    assert tuple(streaming.read_kpis(spark, store).first()) == tuple(want) == (6, 2, 2, 1)
+
+    # the last batch did not get to its commit, so it is run again
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    refresh()
+    assert tuple(streaming.read_kpis(spark, store).first()) == (6, 2, 2, 1)
+
+
+def test_dropped_rows_are_counted_batch_by_batch(spark, tmp_path):
+    lines = tmp_path / "lines"
+    checkpoint = str(tmp_path / "checkpoint")
+    log = streaming.DropLog()
+
+    def run():
+        flows = streaming.watermarked(source.stream_flows(spark, str(lines), observe=True))
+        found = detect.flood_alerts(flows, threshold=3)
+        query = streaming.write_alerts(found, str(tmp_path / "store"), checkpoint, availableNow=True)
+        query.awaitTermination()
+        for progress in query.recentProgress:
+            log.record(progress)
+
+    write(lines, "1.json", [(s, "a", 1) for s in range(100)])
+    text = (lines / "1.json").read_text()
+    (lines / "1.json").write_text(
+        text + '{"src_ip": "b"}\n{"timestamp": "yesterday"}\n{"timestamp": 5}\n[1]\n{"a"\n'
+    )
+    run()
+    # "not json", the empty line, the list and the broken object; 5 is no time either
+    assert log.totals == {
+        "lines": 107, "malformed": 4, "without_timestamp": 1, "unreadable_timestamp": 2, "late": 0,
+    }
+    write(lines, "2.json", [(s, "a", 1) for s in range(0, 20)] + [(150, "a", 1)])
+    run()
+    assert log.totals["late"] > 0 and log.totals["lines"] == 107 + 23
+    counts = log.batches(spark)
+    assert counts.selectExpr("sum(lines)", "sum(malformed)").first() == (130, 6)
+
+
+def test_a_port_is_one_row_of_state_for_each_pane(spark, tmp_path):
+    """The first aggregation of the sliding rules holds panes, not the windows over them."""
+    lines = tmp_path / "lines"
+    write(lines, "1.json", [(s, "a", p) for s in range(20, 28) for p in (22, 80) for _ in range(5)])
+    flows = streaming.watermarked(source.stream_flows(spark, str(lines)))
+    query = streaming.write_alerts(
+        detect.sliding_alerts(flows), str(tmp_path / "s"), str(tmp_path / "c"), availableNow=True
+    )
+    query.awaitTermination()
+    first = [p for p in query.recentProgress if p.numInputRows][0]
+    # two panes of five seconds, two ports; later operators only get what is closed
+    assert sorted(s.numRowsTotal for s in first.stateOperators) == [0, 0, 4]
