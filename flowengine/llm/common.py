@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from flowengine.session import work_path
 
@@ -47,6 +48,42 @@ def materialised(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def running(
+    frame: DataFrame, order: list[Column | str], sums: dict[str, Column], name: str
+) -> DataFrame:
+    """The rows with `no`, their number in the order from 0, and for each of `sums` its total over
+    the rows before.
+
+    Rows are dealt by ranges of the order; what comes before a partition is summed over one row
+    for each partition, the rest within it. The order has to be total for equal reruns.
+    """
+    dealt = materialised(
+        frame.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumns({f"own_{k}": v for k, v in sums.items()})
+        .withColumn("row", F.monotonically_increasing_id()),
+        name,
+    ).withColumn("part", F.shiftright("row", 33))
+    before = (Window.unboundedPreceding, -1)
+    by_part = Window.orderBy("part").rowsBetween(*before)
+    totals = dealt.groupBy("part").agg(
+        F.count("*").alias("n"), F.min("row").alias("first"),
+        *[F.sum(f"own_{k}").alias(f"all_{k}") for k in sums],
+    )
+    earlier = totals.select(
+        F.col("part").alias("its_part"),
+        (F.coalesce(F.sum("n").over(by_part), F.lit(0)) - F.col("first")).alias("shift"),
+        *[F.coalesce(F.sum(f"all_{k}").over(by_part), F.lit(0)).alias(f"all_{k}") for k in sums],
+    )
+    within = Window.partitionBy("part").orderBy("row").rowsBetween(*before)
+    inside = dealt.withColumns(
+        {f"in_{k}": F.coalesce(F.sum(f"own_{k}").over(within), F.lit(0)) for k in sums}
+    )
+    return inside.join(earlier, F.col("part") == F.col("its_part")).select(
+        *frame.columns, (F.col("row") + F.col("shift")).alias("no"),
+        *[(F.col(f"all_{k}") + F.col(f"in_{k}")).alias(k) for k in sums],
+    )
+
+
 def send_package(spark: SparkSession) -> None:
     """Have the executors import this package, which their Python may not have installed."""
     context = spark.sparkContext

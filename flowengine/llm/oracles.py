@@ -174,17 +174,61 @@ _SOURCE_MIXING = f"""
                least((2 * source_size)::DOUBLE, max(level) OVER () * weight) AS target
         FROM levels
     ),
+    quotas AS (
+        SELECT t.*, no, floor(target + 0.5)::BIGINT AS quota
+        FROM targets t JOIN sources s ON s.source IS NOT DISTINCT FROM t.source
+    ),
     placed AS (
-        SELECT s.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+        SELECT s.*, t.source_size, t.target, t.no, t.quota,
                coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY mark, size, s.doc_id, i
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                AS start
-        FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        FROM sized s JOIN quotas t ON s.source IS NOT DISTINCT FROM t.source
+    ),
+    line AS (
+        SELECT *, ((quota + 1023) // 1024)::BIGINT AS blocks,
+               coalesce(sum(quota) OVER (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING
+                                         AND 1 PRECEDING), 0)::HUGEINT AS low,
+               sum(quota) OVER ()::HUGEINT AS every
+        FROM quotas
+    ),
+    points AS (
+        SELECT slot, (slot % 4294967296) * 1640531527 % 4294967296 AS point
+        FROM (SELECT unnest(range(sum(blocks)::BIGINT)) AS slot FROM line)
+    ),
+    ranked AS (
+        SELECT slot, no, blocks, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank
+        FROM points JOIN line ON point >= low * 4294967296 // every
+                             AND point < (low + quota) * 4294967296 // every
+    ),
+    late AS (
+        SELECT no, unnest(range(had, blocks)) AS rank
+        FROM (SELECT l.no, blocks, count(r.no) AS had
+              FROM line l LEFT JOIN ranked r USING (no, blocks) GROUP BY ALL)
+    ),
+    slots AS (
+        SELECT slot, no, rank FROM ranked WHERE rank < blocks
+        UNION ALL
+        SELECT (SELECT sum(blocks) FROM line)::BIGINT + rank, no, rank FROM late
+    ),
+    stretches AS (
+        SELECT i, no, start + epoch * source_size AS a,
+               least(start + epoch * source_size + size, quota) AS b
+        FROM placed, (VALUES (0), (1)) AS t(epoch) WHERE size > 0
+    ),
+    pieces AS (
+        SELECT i, no, unnest(range((a // 1024)::BIGINT, ((b - 1) // 1024 + 1)::BIGINT)) AS rank
+        FROM stretches WHERE a < b
+    ),
+    scheduled AS (
+        SELECT i, min(slot) AS first_slot, count(*) AS n_slots
+        FROM pieces JOIN slots USING (no, rank) GROUP BY i
     )
     SELECT doc_id, size, source_size, target,
            (greatest(least(quota - start, size), 0)
-            + greatest(least(quota - source_size - start, size), 0))::BIGINT AS taken
-    FROM placed
+            + greatest(least(quota - source_size - start, size), 0))::BIGINT AS taken,
+           first_slot, coalesce(n_slots, 0) AS n_slots
+    FROM placed LEFT JOIN scheduled USING (i)
 """
 
 

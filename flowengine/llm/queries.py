@@ -66,7 +66,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     _, shares = source_mixing.mix(table(spark, sf_dir, "documents"))
-    return shares.select("doc_id", "size", "source_size", "target", "taken")
+    return shares.select(
+        "doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots"
+    )
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

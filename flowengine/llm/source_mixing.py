@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowengine.llm.common import SPACE_CLASS, materialised
+from flowengine.llm.common import SPACE_CLASS, materialised, running
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -37,55 +37,61 @@ def targets(sized: DataFrame) -> DataFrame:
     Sources are numbered in code point order, null last. All targets are `SHARE` of all words
     together and in proportion to the weights, but at most `MOST` times their source's size: with
     sources in the order in which they reach that, the level at which the rest share what is left
-    is the largest of the levels so far. `quota` is the target in whole words. There is one row
-    for each source, which is all that the single-partition windows see.
+    is the largest of the levels so far. `quota` is the target in whole words. Sources are
+    numbered and summed up by ranges, so that they may be as many as hosts are.
     """
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    in_order = Window.orderBy(F.col("source").isNull(), "source")
-    numbered = sources.withColumn("no", F.row_number().over(in_order) - 1)
+    in_order = [F.col("source").isNull(), F.col("source")]
     weights = F.array(*map(F.lit, WEIGHTS))
-    weighted = numbered.withColumn(
-        "weight", F.get(weights, F.col("no") % len(WEIGHTS))
-    ).withColumn("most", F.col("source_size") * MOST)
-    filling = Window.orderBy(F.col("source_size") / F.col("weight"), "no")
-    full = F.coalesce(
-        F.sum("most").over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    open_weights = F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing))
-    everything = Window.partitionBy().rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    level = (F.sum("source_size").over(everything) * F.lit(SHARE) - full) / open_weights
-    levelled = weighted.withColumn("level", level)
+    weighted = running(sources, in_order, {}, "mix-sources").withColumn(
+        "weight", F.get(weights, (F.col("no") % len(WEIGHTS)).cast("int"))
+    )
+    filling = weighted.withColumnRenamed("no", "in_order").withColumn(
+        "most", F.col("source_size") * MOST
+    )
+    levelled = materialised(
+        running(
+            filling, [F.col("source_size") / F.col("weight"), F.col("in_order")],
+            {"full": F.col("most"), "filled": F.col("weight")}, "mix-filling",
+        ),
+        "mix-levels",
+    )
+    words_of_all, weight_of_all = levelled.agg(F.sum("source_size"), F.sum("weight")).first()
+    shared = F.lit(words_of_all or 0) * F.lit(SHARE)
+    level = (shared - F.col("full")) / (F.lit(weight_of_all or 1) - F.col("filled"))
+    highest = levelled.agg(F.max(level)).first()[0]
     target = F.least(
-        F.col("most").cast("double"), F.max("level").over(everything) * F.col("weight")
+        F.col("most").cast("double"), F.lit(highest).cast("double") * F.col("weight")
     )
-    return levelled.withColumn("target", target).select(
-        "source", "no", "source_size", "target",
-        F.floor(F.col("target") + 0.5).alias("quota"),
+    return levelled.select(
+        "source", F.col("in_order").alias("no"), "source_size", target.alias("target"),
+        F.floor(target + 0.5).alias("quota"),
     )
 
 
 def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(slot, no, rank): which source, and which of its blocks, fills each slot of the mix.
 
-    Slot i is at the golden-ratio point i on the line of cumulative targets. A source's slots are
+    Slot i is at the golden-ratio point i on the line of cumulative quotas. A source's slots are
     ranked in order; ranks beyond its quota are void, and the few ranks that the points fall short
     of follow at the end. Points meet sources in cells of the line, so the join has no ranges
     without a key; ranks are counted in stretches of slots, so no group is a whole source.
     """
     spark = sources.sparkSession
-    needed = sources.select(
-        "no", "target", F.ceil(F.col("quota") / block_words).alias("blocks")
-    )
-    total, sum_of_targets = needed.agg(F.sum("blocks"), F.sum("target")).first()
-    by_no = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    scale = _POINTS / sum_of_targets if sum_of_targets else 0.0
-    ends = needed.withColumn(
-        "high", F.least(F.floor(F.sum("target").over(by_no) * scale), F.lit(_POINTS))
+    needed = sources.select("no", "quota", F.ceil(F.col("quota") / block_words).alias("blocks"))
+    total, all_words = needed.agg(F.sum("blocks"), F.sum("quota")).first()
+    placed = running(
+        needed.withColumnRenamed("no", "source_no"), ["source_no"], {"low": F.col("quota")},
+        "mix-line",
     )
-    lines = ends.withColumn(
-        "low", F.lag("high", 1, 0).over(Window.orderBy("no"))
+
+    def point_at(words_before: Column) -> Column:
+        wide = words_before.cast("decimal(20,0)") * F.lit(_POINTS).cast("decimal(11,0)")
+        return F.floor(wide / F.lit(max(all_words or 0, 1))).cast("long")
+
+    lines = placed.select(
+        F.col("source_no").alias("no"), point_at(F.col("low")).alias("low"),
+        point_at(F.col("low") + F.col("quota")).alias("high"),
     ).where("high > low")
     width = _POINTS // _CELLS
     cells = lines.select(
@@ -148,14 +154,16 @@ def _placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def mix(documents: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """The mix's pieces and every document's share in it.
+    """The mix's pieces and every document's share in it: the golden-ratio schedule says which
+    block of which source is where, and so which document.
 
     The first frame has (slot, doc_id, text_key, lang, source, n_chars, size, no, start, epoch,
     first_word, last_word): in slot order, the words of a document that a block takes. Each
     source's shuffled documents, repeated without end, are cut into blocks of equal numbers of
     words; the source's slot of rank r takes block r, and the last one ends at the quota. The
     second has one row for each input row: (doc_id, text_key, lang, source, n_chars, size,
-    source_size, target, taken).
+    source_size, target, taken, first_slot, n_slots), with the slot at which it is taken first,
+    null if it is not, and the number of slots that take words of it.
 
     Sizes and targets are as in `words` and `targets`. A source's taken words are its target
     rounded to a whole word, and no document gives more than twice its size. The shuffle depends
@@ -194,7 +202,10 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame
         (high - F.col("from")).alias("last_word"),
     )
     length = F.col("last_word") - F.col("first_word")
-    taken = pieces.groupBy("no", "start").agg(F.sum(length).alias("taken"))
+    taken = pieces.groupBy("no", "start").agg(
+        F.sum(length).alias("taken"), F.min("slot").alias("first_slot"),
+        F.count("*").alias("n_slots"),
+    )
     places = placed.alias("placed")
     gave = taken.withColumnRenamed("no", "its_no").withColumnRenamed("start", "its_start")
     same = (
@@ -202,37 +213,44 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame
         & (F.col("start") == F.col("its_start"))
     )
     shares = places.join(gave, same, "left").select(
-        *_ROW, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
+        *_ROW, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+        "first_slot", F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
     )
     return pieces, shares
 
 
 def mixed_documents(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, text, lang, source, n_chars): the mix as documents.
+    """(doc_id, text, lang, source, n_chars): the mix as documents, in the order of the schedule.
 
-    A document is there once for each time that the mix takes it whole; the one at which a
-    source's quota ends is cut after its last taken word, with single blanks between words.
-    Documents that the mix takes nothing of are not there.
+    A document is there once for each time that the mix takes it whole, at the first slot that
+    takes words of it then; the one at which a source's quota ends is cut after its last taken
+    word, with single blanks between words. Documents that the mix takes nothing of are not there.
+    Partitions are ranges of slots, and written one after the other they are the schedule.
     """
     pieces, _ = mix(documents, block_words)
     length = F.col("last_word") - F.col("first_word")
     copies = pieces.groupBy("no", "start", "epoch", *_ROW, "size").agg(
-        F.sum(length).alias("words")
-    )
-    # equal rows are one key here, so a key has one row for each length that is taken of it
-    takes = copies.groupBy(*_ROW, "size", "words").agg(F.count("*").alias("times"))
+        F.sum(length).alias("words"), F.min("slot").alias("slot")
+    ).select(_row_key().alias("row_key"), "text_key", "words", "size", "slot", "no", "start")
+    # equal rows are one text here; every copy joins it, on the key that it was grouped by
     key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
            "lang", "source", F.col("n_chars").cast("long").alias("n_chars")]
-    texts = documents.select(*key, "text").groupBy(*_ROW).agg(F.first("text").alias("text"))
-    same = [F.col(f"row.{c}").eqNullSafe(F.col(f"take.{c}")) for c in _ROW]
-    joined = texts.alias("row").join(takes.alias("take"), same).select(
-        "row.doc_id", "row.lang", "row.source", "text", "words", "size", "times"
-    )
+    texts = documents.select(*key, "text").withColumn("row_key", _row_key()).groupBy(
+        "row_key", "text_key"
+    ).agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "lang", "source")])
     split = F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), f"[{SPACE_CLASS}]+")
     cut = F.array_join(F.slice(split, F.lit(1), F.col("words").cast("int")), " ")
     text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("text"))
-    once = joined.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return once.select(
-        "doc_id", text.alias("text"), "lang", "source",
-        F.length(text).cast("long").alias("n_chars"),
+    order = ["slot", "no", "start"]
+    return (
+        texts.join(copies, ["row_key", "text_key"])
+        .select("doc_id", text.alias("text"), "lang", "source", *order)
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
     )
+
+
+def _row_key() -> Column:
+    """A hash of a row's other columns, with nulls apart from all values."""
+    columns = [c for c in _ROW if c != "text_key"]
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])

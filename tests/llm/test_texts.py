@@ -434,6 +434,38 @@ def test_mixed_documents_hold_the_words_taken(awkward):
 # ---- quality and URLs
 
 
+def test_mix_is_in_the_order_of_the_schedule(spark):
+    """Documents come as their first slots do, so sources alternate; a larger share comes oftener."""
+    rows = [(k, " ".join(["w"] * 5), "en", "abc"[k % 3], 10) for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pieces, shares = source_mixing.mix(frame, 5)
+    first = {}
+    for p in pieces.collect():
+        first[p.doc_id, p.epoch] = min(p.slot, first.get((p.doc_id, p.epoch), p.slot))
+    mixed = source_mixing.mixed_documents(frame, 5).collect()
+    order = sorted((slot, doc_id % 3, doc_id) for (doc_id, _), slot in first.items())
+    assert [r.doc_id for r in mixed] == [doc_id for *_, doc_id in order]
+    changes = sum(a.source != b.source for a, b in itertools.pairwise(mixed))
+    assert changes > len(mixed) / 2
+    of_shares = {r.doc_id: (r.first_slot, r.n_slots) for r in shares.collect()}
+    for k in range(300):
+        slots = [s for (doc_id, _), s in first.items() if doc_id == k]
+        assert of_shares[k] == (min(slots, default=None), len(slots))
+
+
+def test_targets_of_many_sources(spark):
+    """Numbered and summed up over several partitions."""
+    draw = random.Random(6)
+    sizes = {f"host{k}": draw.randrange(1, 50) for k in range(400)} | {None: 7, "": 0}
+    rows = [(s, n) for s, n in sizes.items()]
+    sized = spark.createDataFrame(rows, "source string, size long").repartition(5)
+    got = source_mixing.targets(sized).collect()
+    want = brute_targets(sizes)
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    assert {r.source: r.no for r in got} == {s: k for k, s in enumerate(order)}
+    assert {r.source: r.target for r in got} == pytest.approx(want)
+
+
 def test_quality_separates_the_labelled(spark):
     rows = {r.doc_id: r.kept for r in queries.op7_quality(spark, SF).collect()}
     labels = duckdb.sql(f"SELECT doc_id, quality FROM '{SF}/labels.parquet'").fetchall()
