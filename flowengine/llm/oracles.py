@@ -239,74 +239,86 @@ def _weight(deviations: str, groups: str, rows: str) -> str:
             f" / ({between}) - 1 ELSE 1e6 END, 1.0), 1e6)::DOUBLE")
 
 
+_SHAPES = "coalesce(text, '')"
+for _letters, _kind in (("[a-zß-öø-ÿ]+", "a"), ("[A-ZÀ-ÖØ-Þ]+", "A"), ("[0-9]+", "0")):
+    _SHAPES = f"regexp_replace({_SHAPES}, '{_letters}', '{_kind}', 'g')"
+
 _QUALITY = f"""
     WITH texts AS (
-        SELECT doc_id, source AS host, lang AS path, coalesce(text, '') AS text,
-               string_split_regex(trim(coalesce(text, ''), {_BLANKS}), '{_SPACE}+') AS tokens
+        SELECT row_number() OVER () AS i, doc_id, source AS host, lang AS path,
+               length(coalesce(text, '')) AS chars,
+               string_split_regex(trim(coalesce(text, ''), {_BLANKS}), '{_SPACE}+') AS words,
+               string_split_regex(trim({_SHAPES}, {_BLANKS}), '{_SPACE}+') AS shapes
         FROM documents
     ),
+    named AS (
+        SELECT i, list_concat(shapes, [
+            'length ' || least(chars // len(words), 15), 'variety ' || (len(list_distinct(words)) * 16 // len(words)),
+            'words ' || floor(log2(len(words)))::BIGINT]) AS names FROM texts
+    ),
+    cells AS (
+        SELECT DISTINCT i, ('0x' || substr(md5(name), 1, 3))::INTEGER AS cell
+        FROM (SELECT i, unnest(names) AS name FROM named)
+    ),
+    known AS (
+        SELECT doc_id, sum(good) AS good, sum(1 - good) AS bad
+        FROM (SELECT DISTINCT doc_id, quality AS good FROM labels
+              WHERE doc_id IS NOT NULL AND quality IS NOT NULL) GROUP BY doc_id
+    ),
     rows AS (
-        SELECT row_number() OVER () AS i, doc_id, host, path,
-               [length(regexp_replace(text, '[^A-Z]+', '', 'g')) * 16
-                / greatest(length(text), 1)::DOUBLE,
-                length(regexp_replace(text, '[^!-+\\-/:-@\\[-`{{-~]+', '', 'g')) * 8
-                / len(tokens)::DOUBLE,
-                length(text) / len(tokens)::DOUBLE,
-                len(list_distinct(tokens)) * 16 / len(tokens)::DOUBLE] AS shares
-        FROM texts
-    ),
-    binned AS (
-        SELECT i, unnest(range(4)) AS feature,
-               least(floor(unnest(shares)), 15)::INTEGER AS bin FROM rows
-    ),
-    labelled AS (
-        SELECT i, host, path, good FROM rows
-        JOIN (SELECT DISTINCT doc_id, quality AS good FROM labels
-              WHERE doc_id IS NOT NULL AND quality IS NOT NULL) USING (doc_id)
-    ),
-    totals AS (SELECT coalesce(sum(good), 0) AS goods, coalesce(sum(1 - good), 0) AS bads
-               FROM labelled),
-    counts AS (SELECT feature, bin, sum(good) AS k, sum(1 - good) AS m
-               FROM labelled JOIN binned USING (i) GROUP BY ALL),
-    evidences AS (
-        SELECT i, sum(ln((coalesce(k, 0) + 1) / (goods + 16)::DOUBLE)
-                      - ln((coalesce(m, 0) + 1) / (bads + 16)::DOUBLE)) AS evidence
-        FROM binned LEFT JOIN counts USING (feature, bin) CROSS JOIN totals GROUP BY i
-    ),
-    paths AS (SELECT host, path, count(*) AS n, sum(good) AS k FROM labelled GROUP BY ALL),
+        SELECT i, t.doc_id, host, path, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad
+        FROM texts t LEFT JOIN known k ON t.doc_id = k.doc_id
+    ),
+    labelled AS (SELECT * FROM rows WHERE good + bad > 0),
+    totals AS (SELECT coalesce(sum(good), 0) AS goods, coalesce(sum(bad), 0) AS bads FROM labelled),
+    counts AS (SELECT cell, sum(good) AS g, sum(bad) AS b FROM cells JOIN labelled USING (i) GROUP BY cell),
+    sums AS (
+        SELECT r.i, sum(ln((coalesce(g, 0) - good + 1) / (goods - good + 2)::DOUBLE)
+                        - ln((coalesce(b, 0) - bad + 1) / (bads - bad + 2)::DOUBLE)) AS added
+        FROM rows r JOIN cells USING (i) LEFT JOIN counts USING (cell) CROSS JOIN totals GROUP BY r.i
+    ),
+    paths AS (SELECT host, path, sum(good + bad) AS n, sum(good) AS k FROM labelled GROUP BY ALL),
     hosts AS (SELECT host, sum(n) AS host_n, sum(k) AS host_k FROM paths GROUP BY ALL),
-    everything AS (SELECT sum(host_n) AS all_n, count(*) AS hosts,
-                          (sum(host_k) + 1) / (sum(host_n) + 2)::DOUBLE AS good FROM hosts),
+    everything AS (SELECT coalesce(sum(host_n), 0) AS all_n, coalesce(sum(host_k), 0) AS all_k,
+                          count(*) AS hosts,
+                          (coalesce(sum(host_k), 0) + 1) / (coalesce(sum(host_n), 0) + 2)::DOUBLE AS good
+                   FROM hosts),
     spread AS (
         SELECT {_weight('sum(host_n * (host_k / host_n::DOUBLE - good) ** 2)',
                         'max(hosts)', 'max(all_n)')} AS host_weight
         FROM hosts CROSS JOIN everything
     ),
-    of_hosts AS (
-        SELECT host, good,
-               (host_k + host_weight * good) / (host_n + host_weight) AS host_prior
-        FROM hosts CROSS JOIN everything CROSS JOIN spread
-    ),
     placed AS (
-        SELECT p.*, good, host_prior FROM paths p JOIN of_hosts h
-          ON p.host IS NOT DISTINCT FROM h.host
+        SELECT p.*, good, (host_k + host_weight * good) / (host_n + host_weight) AS host_prior
+        FROM paths p JOIN hosts h ON p.host IS NOT DISTINCT FROM h.host
+        CROSS JOIN everything CROSS JOIN spread
     ),
     path_spread AS (
         SELECT {_weight('sum(n * (k / n::DOUBLE - host_prior) ** 2)', 'count(*)', 'sum(n)')}
                AS path_weight FROM placed
     ),
-    of_paths AS (
-        SELECT host, path, (k + path_weight * host_prior) / (n + path_weight) AS path_prior
-        FROM placed CROSS JOIN path_spread
+    based AS (
+        SELECT r.*, added, (all_k - r.good + 1) / (all_n - r.good - r.bad + 2)::DOUBLE AS every
+        FROM rows r JOIN sums USING (i) CROSS JOIN everything
+    ),
+    losses AS (
+        SELECT share, round(sum(good * ln(1 + exp(-logit)) + bad * ln(1 + exp(logit))), 6) AS loss
+        FROM (SELECT good, bad, share,
+                     ln(every / (1 - every)) + least(greatest(added, -600), 600) * share AS logit
+              FROM based, (SELECT unnest(range(1, 21)) / 20.0::DOUBLE AS share) WHERE good + bad > 0)
+        GROUP BY share
     ),
+    best AS (SELECT share FROM losses ORDER BY loss, share LIMIT 1),
     scored AS (
-        SELECT r.doc_id, r.host, r.path, evidence,
-               coalesce(path_prior, host_prior, e.good, 0.5) AS prior
-        FROM rows r JOIN evidences USING (i)
-        LEFT JOIN of_paths p ON r.host IS NOT DISTINCT FROM p.host
-                            AND r.path IS NOT DISTINCT FROM p.path
-        LEFT JOIN of_hosts h ON r.host IS NOT DISTINCT FROM h.host
-        CROSS JOIN everything e
+        SELECT b.doc_id, b.host, b.path, added * share AS evidence,
+               (coalesce(k, 0) - b.good + path_weight * (
+                   (coalesce(host_k, 0) - b.good + host_weight * every)
+                   / (coalesce(host_n, 0) - b.good - b.bad + host_weight)))
+               / (coalesce(n, 0) - b.good - b.bad + path_weight) AS prior
+        FROM based b
+        LEFT JOIN paths p ON b.host IS NOT DISTINCT FROM p.host AND b.path IS NOT DISTINCT FROM p.path
+        LEFT JOIN hosts h ON b.host IS NOT DISTINCT FROM h.host
+        CROSS JOIN spread CROSS JOIN path_spread CROSS JOIN best
     ),
     judged AS (
         SELECT *, round(1 / (1 + exp(-(ln(prior / (1 - prior)) + evidence))), 6) AS quality

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowengine.llm.common import map_batches
+from flowengine.llm.common import map_batches, materialised, send_package
+from flowengine.session import work_path
 
-#: Rules in one index file. A larger list is dealt over several files by a hash of the host.
-RULES_PER_FILE = 4_000_000
+#: Rules in one index file, which one task sorts. A larger list is dealt over several files.
+RULES_PER_FILE = 500_000
 _TEXT = np.dtype([("host", "<u8"), ("path", "<u8"), ("end", "<u8"), ("allow", "u1")])
 
 
@@ -34,59 +34,88 @@ def host_and_path(url):
 
 
 def build_index(rules: DataFrame, rules_per_file: int = RULES_PER_FILE) -> list[str]:
-    """Index files of the rules, sent to every executor; returns their names.
-
-    `rules` has host, path and verdict (`allow` or `block`). Each file holds the sorted digests,
-    the places of the strings and the strings. A file is built from a stream of at most about
-    `rules_per_file` rules, so neither the driver nor a task holds the whole list in memory:
-    executors map the files and read the pages that are probed. Rules with a null are left out; of
-    rules with the same host and path, a block outweighs an allow.
+    """Index files of the rules in the shared work folder; returns their places.
+
+    `rules` has host, path and verdict (`allow` or `block`). They are dealt by a hash of host and
+    path into shares of about `rules_per_file`, so that a host with many rules is in many; one
+    task sorts each share and writes its file: the sorted digests of the hosts, the places of the
+    strings and the strings. A file gets its name when it is whole, and a repeated task writes the
+    same again. The driver only sees the files' names. Rules with a null are left out; of rules
+    with the same host and path, a block outweighs an allow.
     """
     spark = rules.sparkSession
-    kept = (
+    kept = materialised(
         rules.dropna(subset=["host", "path", "verdict"])
         .groupBy("host", "path")
-        .agg(F.max("verdict").alias("verdict"))
+        .agg(F.max("verdict").alias("verdict")),
+        "url-rules",
     )
     files = max(1, -(-kept.count() // rules_per_file))
-    names = []
-    for k in range(files):
-        share = kept.where(F.pmod(F.xxhash64("host"), F.lit(files)) == k)
-        name = f"url-rules-{uuid.uuid4().hex}.bin"
-        path = os.path.join(tempfile.mkdtemp(prefix="url-rules-"), name)
-        _write(path, share.select("host", "path", "verdict").toLocalIterator())
-        spark.sparkContext.addFile(path)
-        names.append(name)
-    return names
+    folder = work_path(spark, "url-index")
+
+    def write(share: pa.Table) -> pa.Table:
+        number = share.column("share")[0].as_py()
+        path = f"{folder}/{number}.bin"
+        _write(path, share.select(["host", "path", "verdict"]))
+        return pa.table({"path": pa.array([path], pa.string())})
+
+    send_package(spark)
+    shares = kept.withColumn("share", F.pmod(F.xxhash64("host", "path"), F.lit(files)))
+    # a file for each share, whatever a write costs: names are collected, not rules
+    return sorted(r.path for r in shares.groupBy("share").applyInArrow(write, "path string").collect())
 
 
-def _digest(host: str) -> int:
-    return xxhash.xxh64_intdigest(host.encode())
+def _digests(hosts: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(h.encode()) for h in hosts], dtype="<u8")
 
 
-def _write(path: str, rules: Iterator) -> None:
+def _write(path: str, rules: pa.Table) -> None:
     """Count, sorted digests, a record per rule in the same order, strings."""
-    digests, records, texts, at = [], [], [], 0
-    for host, rule_path, verdict in rules:
-        first, second = host.encode(), rule_path.encode()
-        end = at + len(first) + len(second)
-        digests.append(_digest(host))
-        records.append((at, at + len(first), end, verdict == "allow"))
-        texts += [first, second]
-        at = end
-    order = np.argsort(np.array(digests, dtype="<u8"), kind="stable")
-    with open(path, "wb") as file:
-        file.write(np.uint64(len(digests)).tobytes())
-        file.write(np.array(digests, dtype="<u8")[order].tobytes())
-        file.write(np.array(records, dtype=_TEXT)[order].tobytes())
-        file.write(b"".join(texts))
+    hosts, paths, verdicts = (rules.column(c).to_pylist() for c in range(3))
+    texts = [t.encode() for pair in zip(hosts, paths, strict=True) for t in pair]
+    ends = np.cumsum([len(t) for t in texts], dtype="<u8")
+    records = np.zeros(len(hosts), dtype=_TEXT)
+    records["path"], records["end"] = ends[0::2], ends[1::2]
+    records["host"][1:] = ends[1::2][:-1]
+    records["allow"] = [v == "allow" for v in verdicts]
+    digests = _digests(hosts)
+    order = np.argsort(digests, kind="stable")
+    content = b"".join([
+        np.uint64(len(hosts)).tobytes(), digests[order].tobytes(), records[order].tobytes(), *texts,
+    ])
+    files, place = _file_system(path)
+    if isinstance(files, fs.LocalFileSystem):
+        files.create_dir(os.path.dirname(place), recursive=True)
+    aside = f"{os.path.dirname(place)}/.{uuid.uuid4().hex}"
+    with files.open_output_stream(aside) as file:
+        file.write(content)
+    files.move(aside, place)
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a place in the shared folder, and the place's name there."""
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _mapped(path: str) -> np.ndarray:
+    """The bytes of an index file: mapped where the shared folder is mounted, else fetched."""
+    files, place = _file_system(path)
+    if isinstance(files, fs.LocalFileSystem):
+        return np.memmap(place, dtype="u1", mode="r")
+    with files.open_input_file(place) as file:
+        return np.frombuffer(file.read(), dtype="u1")
 
 
 class _Index:
     """One mapped file."""
 
     def __init__(self, path: str):
-        raw = np.memmap(path, dtype="u1", mode="r")
+        raw = _mapped(path)
         n = int(raw[:8].view("<u8")[0])
         self.digests = raw[8:8 + 8 * n].view("<u8")
         records = 8 + 8 * n
@@ -96,7 +125,7 @@ class _Index:
     def rules(self, hosts: list[str]) -> dict[str, list[tuple[str, str]]]:
         """(path, verdict) of each host that has rules, the longest path first. A digest only
         leads to a rule; the stored host decides."""
-        keys = np.array([_digest(h) for h in hosts], dtype="<u8")
+        keys = _digests(hosts)
         low = np.searchsorted(self.digests, keys, side="left")
         high = np.searchsorted(self.digests, keys, side="right")
         found = {}
@@ -117,20 +146,21 @@ def judge(pages: DataFrame, files: list[str], default: str = "allow") -> DataFra
     """(page_id, host, path, rule, verdict) of every page's URL.
 
     A rule fits its host and all subdomains if the URL's path starts with the rule's path. The
-    longest fitting rule (host and path together) decides; `rule` is its text. Where none fits,
-    rule is null and the verdict `default`. A null URL, or one without `://`, has an empty host
+    longest fitting rule (host and path together) decides, of equally long ones the last in
+    code-point order; `rule` is its text. Where none fits, rule is null and the verdict `default`. A null URL, or one without `://`, has an empty host
     and path. Every input row gives one row, repeated rows and null ids too; other columns are
     left out, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexes = [_Index(SparkFiles.get(name)) for name in files]
+        indexes = [_Index(path) for path in files]
         for batch in batches:
             hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             asked = sorted({s for h in set(hosts) for s in _suffixes(h)})
             known: dict[str, list] = {}
             for index in indexes:
-                known |= index.rules(asked)
+                for host, found in index.rules(asked).items():
+                    known.setdefault(host, []).extend(found)
             rules, verdicts = [], []
             for host, path in zip(hosts, paths, strict=True):
                 best = max(

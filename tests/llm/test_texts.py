@@ -3,12 +3,15 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import struct
 import zlib
 
 import corpus_pipeline
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -473,6 +476,87 @@ def test_quality_separates_the_labelled(spark):
     assert sum(hits) / len(hits) > 0.97
 
 
+def by_hand(frame, labels):
+    """(quality, good) of the labelled documents of a frame that are not in `labels`."""
+    rows = quality.score(frame, labels).join(
+        frame.select("doc_id", F.col("good").alias("truth")), "doc_id"
+    )
+    known = {r.doc_id for r in labels.collect()}
+    return [(r.quality, r.truth) for r in rows.where("truth IS NOT NULL").collect()
+            if r.doc_id not in known]
+
+
+def log_loss(judged):
+    return -sum(math.log(q if good else 1 - q) for q, good in judged) / len(judged)
+
+
+def test_quality_of_held_out_documents(spark):
+    """A fifth of the labels is not learned from; probabilities mean what they say."""
+    docs = common.table(spark, SF.replace("0.01", "0.1"), "documents")
+    labels = common.table(spark, SF.replace("0.01", "0.1"), "labels")
+    frame = docs.join(labels.select("doc_id", F.col("quality").alias("good")), "doc_id").select(
+        "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"), "good"
+    )
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    judged = by_hand(frame, labels.where(~held_out).select("doc_id", "quality"))
+    assert len(judged) > 500
+    assert sum((q >= 0.5) == (good == 1) for q, good in judged) / len(judged) > 0.97
+    majority = max(sum(g for _, g in judged), sum(1 - g for _, g in judged)) / len(judged)
+    assert majority < 0.9 and log_loss(judged) < 0.1
+    assert abs(sum(q for q, _ in judged) - sum(g for _, g in judged)) / len(judged) < 0.02
+
+
+def test_sites_tell_what_texts_do_not(spark):
+    """Equal texts on good and bad hosts, and on good and bad paths of one host."""
+    draw = random.Random(2)
+    shares = {("a", "x"): 0.95, ("b", "x"): 0.1, ("c", "x"): 0.9, ("c", "y"): 0.15, ("d", "z"): 0.8}
+    rows = [
+        (k, "the same words", host, path, int(draw.random() < share))
+        for k, ((host, path), share) in enumerate((s for s in shares.items() for _ in range(160)))
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, host string, path string, good int")
+    labels = frame.where("doc_id % 2 = 0").select("doc_id", F.col("good").alias("quality"))
+    nowhere = frame.withColumn("host", F.lit(None).cast("string")).withColumn(
+        "path", F.lit(None).cast("string")
+    )
+    placed, apart = by_hand(frame, labels), by_hand(nowhere, labels)
+    assert log_loss(placed) < 0.8 * log_loss(apart)
+    # of a sparse site the host decides, of an unknown one all
+    more = spark.createDataFrame(
+        [(1000, "the same words", "b", "new", 0), (1001, "the same words", "new", "new", 0)], frame.schema
+    )
+    prior = {r.doc_id: r.prior for r in quality.score(frame.union(more), labels).collect()}
+    assert prior[1000] < 0.35 and 0.45 < prior[1001] < 0.75
+
+
+def test_own_labels_do_not_count(spark):
+    rows = [(k, f"text {'!' * (k % 3)} A", "h" if k % 2 else None, f"p{k % 4}") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    given = [(k, int(k % 3 > 0)) for k in range(30)]
+
+    def judged(labels):
+        labels = spark.createDataFrame(labels, "doc_id long, quality int")
+        return {r.doc_id: r for r in quality.score(frame, labels).collect()}
+
+    # a lone label leaves its document where no label would
+    alone = judged([(7, 1)])
+    assert (alone[7].evidence, alone[7].prior) == (0.0, 0.5) and alone[9].prior > 0.5
+    # contradicting labels both count, for others
+    both = judged([(7, 1), (7, 0)])
+    assert both[7].prior == 0.5 and both[9].prior == 0.5
+    assert len(judged(given)) == 40
+
+
+def test_quality_ignores_clashing_columns(spark):
+    plain = [(k, f"words {'#' * (k % 5)}", "h", "p") for k in range(20)]
+    frame = spark.createDataFrame(plain, "doc_id long, text string, host string, path string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, quality int")
+    names = ("good", "bad", "cells", "its_id", "its_host", "evidence", "prior", "quality", "sum", "model")
+    wide = frame.withColumns({c: F.lit(1) for c in names})
+    got = quality.score(wide, labels.withColumns({c: F.lit(1) for c in ("good", "text", "host")}))
+    assert sorted(got.collect()) == sorted(quality.score(frame, labels).collect())
+
+
 def test_quality_of_awkward_texts(spark, awkward, nothing):
     sites = awkward.select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
     labels = spark.createDataFrame([(1, 1), (1, 1), (8, 0), (None, 1), (3, None), (99, 0)],
@@ -485,7 +569,7 @@ def test_quality_of_awkward_texts(spark, awkward, nothing):
     assert quality.score(empty, labels).count() == 0
 
 
-def test_awkward_urls(spark, monkeypatch):
+def test_awkward_urls(spark, monkeypatch, tmp_path):
     urls = [
         (1, None, "-", None), (2, "no scheme", "-", None), (3, "", "-", None),
         (4, "http://Www.EXAMPLE.com/en/x?y", "www.example.com/en/", "allow"),
@@ -506,13 +590,34 @@ def test_awkward_urls(spark, monkeypatch):
         assert got == want
         assert {(r.host, r.path) for r in rows if r.page_id in (1, 2, 3)} == {("", "")}
     # one digest for all hosts: only the stored strings tell them apart
-    path = "/tmp/url-index-test.bin"
-    monkeypatch.setattr(url_filter, "_digest", lambda host: 7)
-    url_filter._write(path, iter([("a", "/", "allow"), ("b", "/x", "block")]))
-    assert url_filter._Index(path).rules(["b", "c"]) == {"b": [("/x", "block")]}
+    path = str(tmp_path / "index" / "0.bin")
+    monkeypatch.setattr(url_filter, "_digests", lambda hosts: np.full(len(hosts), 7, dtype="<u8"))
+    for place in (path, f"file:{path}"):  # written again by a task that is repeated
+        url_filter._write(place, pa.table({
+            "host": ["a", "b"], "path": ["/", "/x"], "verdict": ["allow", "block"]
+        }))
+        assert url_filter._Index(place).rules(["b", "c"]) == {"b": [("/x", "block")]}
+    assert [p.name for p in (tmp_path / "index").iterdir()] == ["0.bin"]
     assert url_filter.judge(pages.limit(0), []).count() == 0
 
 
+@pytest.mark.parametrize("per_file", [1, 10])
+def test_equally_long_rules(spark, per_file):
+    """The text later in code-point order decides."""
+    rules = spark.createDataFrame(
+        [("a.b.c", "/", "block"), ("b.c", "/xy", "allow"), ("b.c", "/xz", "block")],
+        "host string, path string, verdict string",
+    )
+    pages = spark.createDataFrame(
+        [(1, "x://a.b.c/xyz"), (2, "x://a.b.c/xz"), (3, "x://a.b.c/x"), (4, "x://b.c/xy")],
+        "page_id long, url string",
+    )
+    rows = url_filter.judge(pages, url_filter.build_index(rules, per_file)).collect()
+    got = {r.page_id: (r.rule, r.verdict) for r in rows}
+    assert got == {1: ("b.c/xy", "allow"), 2: ("b.c/xz", "block"), 3: ("a.b.c/", "block"),
+                   4: ("b.c/xy", "allow")}
+
+
 # ---- pipeline
 
 
