@@ -121,7 +121,7 @@ def _filtered(classes: DataFrame, height: float, directions: int, least: int) ->
                 part = batch.filter(pa.array(widths == width))
                 if width not in codes:
                     codes[width] = Codes(int(width), height, directions, least)
-                raw = matrix(part["vector"], "f8")
+                raw = _within_range(matrix(part["vector"], "f8"))
                 row, caught = codes[width].decode(
                     raw / np.linalg.norm(raw, axis=1, keepdims=True)
                 )
@@ -136,11 +136,13 @@ def _filtered(classes: DataFrame, height: float, directions: int, least: int) ->
                     ["label", "id", "copies", "vector", "width", "filter", "filters"],
                 )
 
+    kind = dict(classes.dtypes)["vector"]
     schema = (
-        "label int, id long, copies long, vector array<float>, width int, filter long, "
+        f"label long, id long, copies long, vector {kind}, width int, filter long, "
         "filters array<long>"
     )
-    return map_batches(classes.select("label", "id", "copies", "vector"), run, schema)
+    numbered = classes.select(F.col("label_no").alias("label"), "id", "copies", "vector")
+    return map_batches(numbered, run, schema)
 
 
 def _linked(filtered: DataFrame, threshold: float) -> DataFrame:
@@ -196,7 +198,7 @@ def _tile_links(tile: pa.RecordBatch, threshold: float) -> pa.RecordBatch:
     low, high = tile["low"][0].as_py(), tile["high"][0].as_py()
     block = tile["block"].to_numpy()
     rows, columns = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    raw = matrix(tile["vector"], "f8")
+    raw = _within_range(matrix(tile["vector"], "f8"))
     size = np.linalg.norm(raw, axis=1)
     cosine = (raw[rows] @ raw[columns].T) / (size[rows][:, None] * size[columns])
     near = cosine >= threshold
@@ -224,6 +226,12 @@ def _tile_links(tile: pa.RecordBatch, threshold: float) -> pa.RecordBatch:
     )
 
 
+def _within_range(raw: np.ndarray) -> np.ndarray:
+    """Rows as they are, but for those whose squares a double cannot hold."""
+    largest = np.abs(raw).max(axis=1, keepdims=True)
+    return np.where((largest > 1e150) | (largest < 1e-150), raw / largest, raw)
+
+
 def _meet_before(lists: pa.Array, here: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """For each pair: do both rows have a filter smaller than this one?"""
     values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
@@ -279,14 +287,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     its own.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing,
-    nor do rows with a null label or id; only vectors of equal length link. Equal vectors of a
+    nor do rows with a null label or id; only vectors of equal length link. Labels may be of any
+    type that has an order, components of any number type; other than singles they are compared
+    as doubles. Equal vectors of a
     label are one class with a number of copies: all of them link with each other. Every input row
     is a vector of its own and gives one row, also where ids repeat. Other columns are left out,
     whatever their names. An empty table gives no rows.
     """
+    # singles stay singles, anything else is compared as doubles; labels are only ever equal or not
+    kind = dict(vectors.dtypes)["embedding"]
+    vector = F.col("embedding").cast(kind if kind == "array<float>" else "array<double>")
     rows = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
-        F.col("embedding").cast("array<float>").alias("vector"),
+        F.col("vec_id").cast("long").alias("vec_id"), "label", vector.alias("vector")
     )
     some = F.exists("vector", lambda x: x != 0)
     fit = (
@@ -294,14 +306,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
         & F.coalesce(some, F.lit(False))
     )
     able = rows.where(fit)
-    classes = materialised(
+    distinct = materialised(
         able.groupBy("label", "vector").agg(
             F.min("vec_id").alias("first_id"), F.count("*").alias("copies")
         ).withColumn("id", F.monotonically_increasing_id()),
         "cap-classes",
     )
+    labels = materialised(
+        distinct.groupBy("label").agg(F.count("*").alias("vectors"))
+        .withColumn("label_no", F.monotonically_increasing_id()),
+        "cap-labels",
+    )
+    classes = distinct.join(labels.select("label", "label_no"), "label")
     # one row: the size of the largest label
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    largest = labels.agg(F.max("vectors")).first()[0] or 0
     filtered = materialised(_filtered(classes, *cap(largest, threshold), best(largest)), "cap-filters")
     found = materialised(_linked(filtered, threshold), "cap-links")
     roots = components(found.where("b IS NOT NULL").select("a", "b"))

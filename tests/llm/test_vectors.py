@@ -141,3 +141,22 @@ def test_filters_have_no_links_twice():
     i, j = (np.array(x) for x in zip(*itertools.combinations(range(4), 2), strict=True))
     got = cap_filters._meet_before(pa.array(lists), 9, i, j)
     assert got.tolist() == [bool({*lists[a]} & {*lists[b]} - {9}) for a, b in zip(i, j, strict=True)]
+
+
+def test_doubles_and_labels_of_any_type(spark):
+    """Differences that singles cannot hold decide; labels are texts, or numbers beyond an int."""
+    one, tiny = [1.0, 0.0], 1e-12
+    edge = [0.93, math.sqrt(1 - 0.93**2)]
+    above, below = [0.93 + tiny, edge[1]], [0.93 - tiny, edge[1]]
+    for first, second in (("a", "b"), (1 << 40, (1 << 40) + 1), (0.5, 0.25)):
+        rows = [
+            (1, one, first), (2, above, first), (3, below, first), (4, above, second), (5, one, None),
+            (6, [1e300, 0.0], first), (7, [1e-300, 0.0], second),
+        ]
+        kind = {str: "string", int: "long", float: "double"}[type(first)]
+        vectors = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in cap_filters.near_duplicates(vectors).collect()}
+        # 2 is linked to 1, 3, 6; 3 to 2 alone
+        assert got == {
+            1: (2, 1), 2: (3, 1), 3: (1, 1), 6: (2, 1), 4: (1, 4), 7: (1, 4), 5: (0, 5),
+        }
