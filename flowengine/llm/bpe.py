@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowengine.llm.common import map_batches, pieces, windows
+from flowengine.llm.common import Learned, map_batches, windows
 
 #: Fixed value: the rule by which byte-level BPE vocabularies of this kind split a text into words.
 SPLIT_RULE = (
@@ -75,7 +75,7 @@ class Model:
         self.added = {token: _packed([i]) for token, i in added.items()}
         self.added_rule = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.words = regex.compile(SPLIT_RULE).findall
-        self.known, self.older = {}, {}
+        self.known = Learned(self._pieces_ids, REMEMBERED, REMEMBERED_CHARS)
         self._arrays(stored_pairs=sorted(self.rank_of.items()))
 
     def _arrays(self, stored_pairs: list[tuple[int, int]]) -> None:
@@ -197,65 +197,39 @@ class Model:
                     push(queue, entry)
         return [s for s in symbols if s >= 0]
 
-    def _learn(self, distinct: set[str]) -> None:
-        """Have `known` hold packed ids of these pieces. The words of those that are not
-        remembered are merged together."""
-        if len(self.known) >= REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        rest = distinct.difference(known)
-        unknown = list(rest.difference(older))
-        known.update((p, older[p]) for p in rest if p in older)
+    def _pieces_ids(self, unknown: list[str]) -> Iterator[bytes]:
+        """Packed ids of pieces, whose words are merged together."""
         # letters alone, with or without a blank before them, are one word
         split = [
             [p] if p.isascii() and p[p[0] == " ":].isalpha() else self.words(p) for p in unknown
         ]
         words = list(dict.fromkeys(itertools.chain.from_iterable(split)))
         ids_of = dict(zip(words, self.merge_many([w.encode() for w in words]), strict=True))
-        for piece, parts in zip(unknown, split, strict=True):
-            known[piece] = (
-                ids_of[piece] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
-            )
-
-    def _forget_long(self, distinct: set[str]) -> None:
-        """Pieces of a chunk are remembered if they are short: up to 2 * `REMEMBERED` of them and
-        a chunk's."""
-        for piece in [p for p in distinct if len(p) > REMEMBERED_CHARS]:
-            self.known.pop(piece, None)
+        for parts in split:
+            yield ids_of[parts[0]] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
 
     def encode_many(self, texts: Iterable[str]) -> list[bytes]:
         """Every whole text's ids, packed as little-endian unsigned 32-bit integers."""
         packed: list[list[bytes]] = []
-        chunk: list[tuple[int, list[str]]] = []
-        size = 0
-
-        def flush():
-            distinct = set().union(*(p for _, p in chunk))
-            self._learn(distinct)
-            ids_of = self.known.__getitem__
-            for k, parts in chunk:
-                packed[k].append(b"".join(map(ids_of, parts)))
-            self._forget_long(distinct)
-            chunk.clear()
-
-        for text in texts:
-            packed.append([])
-            parts = self.added_rule.split(text) if self.added_rule else [text]
-            for k, part in enumerate(parts):
-                if k % 2:
-                    if chunk:
-                        flush()
-                        size = 0
-                    packed[-1].append(self.added[part])
-                    continue
-                for window in windows(part, WINDOW_CHARS) if part else ():
-                    chunk.append((len(packed) - 1, pieces(window)))
-                    size += len(window)
-                    if size >= CHUNK_CHARS:
-                        flush()
-                        size = 0
-        if chunk:
-            flush()
+
+        def windowed() -> Iterator[tuple[int, str]]:
+            """Every place among the ids that a stretch of ordinary text fills, with the text."""
+            for text in texts:
+                packed.append([])
+                for k, part in enumerate(self.added_rule.split(text) if self.added_rule else [text]):
+                    if k % 2:
+                        packed[-1].append(self.added[part])
+                        continue
+                    for window in windows(part, WINDOW_CHARS) if part else ():
+                        packed[-1].append(b"")
+                        places.append((len(packed) - 1, len(packed[-1]) - 1))
+                        yield len(places) - 1, window
+
+        places: list[tuple[int, int]] = []
+        ids_of = self.known.__getitem__
+        for number, parts in self.known.over(windowed(), CHUNK_CHARS):
+            row, at = places[number]
+            packed[row][at] = b"".join(map(ids_of, parts))
         return [b"".join(p) for p in packed]
 
     def encode(self, text: str) -> bytes:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import itertools
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -149,30 +150,45 @@ def pieces(text: str) -> list[str]:
     return _PIECES.findall(text)
 
 
-class Remembered(dict):
-    """A table that computes what it does not hold, for short keys at most 2 * `bound` of them.
+class Learned(dict):
+    """What is known of pieces of text, computed for many at a time.
 
-    When the young half is full it becomes the old half; what is asked for again moves back.
+    After `take_in` it holds all the pieces asked for. Short ones are remembered: when there are
+    `bound` of them they become the older half, from which what is asked for again moves back; so
+    there are at most 2 * `bound` and those of the last call.
     """
 
-    def __init__(self, compute: Callable[[str], object], bound: int, longest: int):
+    def __init__(self, compute: Callable[[list[str]], Iterable], bound: int, longest: int):
         super().__init__()
-        self.compute, self.bound, self.longest, self.old = compute, bound, longest, {}
-
-    def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        self.keep(key, value)
-        return value
-
-    def keep(self, key: str, value) -> None:
-        if len(key) > self.longest:
-            return
+        self.compute, self.bound, self.longest, self.older = compute, bound, longest, {}
+
+    def take_in(self, asked: set[str]) -> None:
         if len(self) >= self.bound:
-            self.old = dict(self)
+            self.older = dict(self)
             self.clear()
-        self[key] = value
-
-    def lacks(self, key: str) -> bool:
-        return key not in self and key not in self.old
+        rest = asked.difference(self)
+        self.update((p, self.older[p]) for p in rest if p in self.older)
+        unknown = list(rest.difference(self.older))
+        self.update(zip(unknown, self.compute(unknown), strict=True))
+
+    def forget_long(self, asked: set[str]) -> None:
+        for piece in [p for p in asked if len(p) > self.longest]:
+            self.pop(piece, None)
+
+    def over(
+        self, texts: Iterable[tuple[int, str]], size: int
+    ) -> Iterator[tuple[int, list[str]]]:
+        """(number, pieces) of numbered texts, all of whose pieces are held while they are given;
+        texts are taken in together until they have `size` characters."""
+        chunk: list[tuple[int, list[str]]] = []
+        taken = 0
+        for number, text in itertools.chain(texts, [(-1, "")]):
+            if number >= 0:
+                chunk.append((number, pieces(text)))
+                taken += len(text)
+            if chunk and (taken >= size or number < 0):
+                asked = set().union(*(p for _, p in chunk))
+                self.take_in(asked)
+                yield from chunk
+                self.forget_long(asked)
+                chunk, taken = [], 0
