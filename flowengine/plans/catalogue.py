@@ -39,10 +39,6 @@ RESOLUTION = {
     "resolved_at": "2024-02-01T00:00:00",
     "resolution_notes": "source blocked at the edge",
 }
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +351,12 @@ def _update_alert(spark, sf):
 
 
 def _footprint(spark, sf):
-    return layout.storage_footprint(spark, {t: f"{sf}/{t}.parquet" for t in TABLES})
+    """What the flows take up as text, ORC and Parquet."""
+    paths = {}
+    for fmt in ("csv", "orc", "parquet"):
+        paths[fmt] = work_path(spark, f"footprint-{fmt}")
+        files.convert_flows(adapter.records(spark, sf), paths[fmt], fmt)
+    return layout.storage_footprint(spark, paths)
 
 
 def _hash_report(spark, sf):
