@@ -32,6 +32,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+# work folders by Spark context, for `remove_work`
+_made: dict[int, list[str]] = {}
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by `spark.checkpoint.dir`.
 
@@ -42,4 +46,18 @@ def work_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="flowengine-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(id(spark.sparkContext), []).append(path)
+    return path
+
+
+def remove_work(spark: SparkSession) -> int:
+    """Delete what this application has written to work folders, and return how many there were.
+
+    Frames read from them are lost: call it when all results are stored elsewhere.
+    """
+    paths = _made.pop(id(spark.sparkContext), [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
