@@ -65,7 +65,7 @@ def hashes(text: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarra
     return out
 
 
-def _same(a, a_starts, b, b_starts, lengths) -> bool | np.ndarray:
+def _same(a, a_starts, b, b_starts, lengths) -> np.ndarray:
     """For each pair of places whether so many bytes there are equal."""
     equal = a[ranges(a_starts, lengths)] == b[ranges(b_starts, lengths)]
     wrong = np.zeros(len(lengths), dtype=bool)

@@ -149,6 +149,67 @@ def test_profiles_by_brute_force(spark):
     assert profiles == want
 
 
+def grams_by_hand(text):
+    """Of every word between blanks its letters, and its runs of two and three with the blanks."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    counts = collections.Counter()
+    for word in words:
+        counts.update(word)
+        padded = f" {word} "
+        for size in (2, 3):
+            counts.update(padded[k:k + size] for k in range(len(padded) - size + 1))
+    return counts
+
+
+def profile_by_hand(counts):
+    """The 300 most frequent, ties to the shorter and then to the smaller code points."""
+    order = sorted(counts, key=lambda g: (-counts[g], len(g), [ord(c) for c in g]))
+    return {gram: rank for rank, gram in enumerate(order[:300])}
+
+
+def test_predictions_by_brute_force(spark):
+    """The distance of ranks, the language and the score of every document, without the library's
+    own n-grams, profiles or tables."""
+    learned = collections.defaultdict(collections.Counter)
+    grams = {i: grams_by_hand(text or "") for i, text, _ in DOCUMENTS}
+    for i, _, lang in DOCUMENTS:
+        if lang is not None and zlib.crc32(str(i).encode()) % 5:
+            learned[lang].update(grams[i])
+    profiles = {lang: profile_by_hand(counts) for lang, counts in learned.items()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.op6_language_id(spark, SF).collect()}
+    assert len(got) == len(DOCUMENTS)
+    for i, own in grams.items():
+        own = profile_by_hand(own)
+        if not own:
+            assert got[i] == ("und", 0.0)
+            continue
+        distance = {
+            lang: sum(abs(rank - known[g]) if g in known else 300 for g, rank in own.items())
+            for lang, known in profiles.items()
+        }
+        best = min(distance, key=lambda lang: (distance[lang], lang))
+        assert got[i][0] == best
+        assert got[i][1] == pytest.approx(1 - distance[best] / (300 * len(own)))
+
+
+def test_a_blank_only_text_and_one_of_one_huge_word(spark):
+    """Several megabytes in one word, through every function on texts that has a bound."""
+    huge = "ab" * 1_000_000
+    frame = spark.createDataFrame(
+        [(1, huge), (2, huge), (3, huge[:-1]), (4, " \t\n"), (5, None)], "doc_id long, text string"
+    ).withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1).cast("long")})
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame).collect()}
+    assert found[1] == found[2] == 1 and found[3] == 3 and found[4] == found[5] == 4
+    rows = {r.doc_id: r for r in bpe.round_trip(frame, PATH).collect()}
+    for i, text in ((1, huge), (3, huge[:-1])):
+        assert rows[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert rows[i].n_tokens == len(ids_of(text))
+        assert rows[i].ids_sha256 == hashlib.sha256(packed(ids_of(text))).hexdigest()
+    assert rows[1].ids == rows[2].ids and rows[4].n_tokens == len(ids_of(" \t\n")) and rows[5].n_tokens == 0
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame, PATH).collect()}
+    assert counts == {i: r.n_tokens for i, r in rows.items()}
+
+
 def test_languages_of_awkward_texts(awkward, nothing):
     profiles = language_id.learn(awkward)
     assert set(profiles) == {"en", "fr"}
