@@ -16,6 +16,8 @@ LEADING = 3
 SIMILARITY = 0.8
 #: Groups in which a line of a crowded leaf looks for its template, unless more tokens may differ.
 GROUPS = 56
+#: Lines of a group that one task compares others with, about.
+GROUP_PART = 256
 #: Tokens that a line needs to be parsed.
 MIN_TOKENS = 3
 #: Characters from which a line with fewer tokens counts as well, such as a passage in a script
@@ -112,17 +114,18 @@ def _crowded(documents: DataFrame, keyed: DataFrame, similarity: float) -> DataF
 
 
 def _earlier_likes(apart: DataFrame, similarity: float) -> DataFrame:
-    """(leaf, own, first): for lines that share enough fixed tokens with a line that founded a
-    template in an earlier document, the first such document. `apart` is as `_crowded` has it.
+    """(leaf, own, first): for lines that share enough fixed tokens with a line of an earlier
+    document, the first such document; a line may be there twice, with a later one as well.
+    `apart` is as `_crowded` has it.
 
     Lines of one leaf have as many tokens and the same leading ones. The others are cut into
     segments, and each choice of as many segments as tokens may differ is left out once: two
-    lines of one template then agree in what is left for some choice. Each such rest is a group,
-    which its earliest line founds; a line is compared with the founders of its groups, position
-    by position. So a line meets a few others, whatever the size of its leaf. Where no more than
-    two tokens may differ, segments are single tokens, so a group has one template and nothing is
-    missed; in longer lines, groups are of at least one segment, and up to `GROUPS` of a line are
-    as narrow as that number allows.
+    lines of one template then agree in what is left for some choice. Each such rest is a group.
+    A line is compared, position by position, with the earliest line of each of its groups, and
+    then with those others of them that are earlier than the earliest like found so far. Where no
+    more than two tokens may differ, segments are single tokens, so that most groups have one
+    template and nothing is left for the second step; in longer lines, groups are of at least one
+    segment, and up to `GROUPS` of a line are as narrow as that number allows.
     """
     needed = _needed(F.size("tokens"), similarity)
     hashed = apart.select(
@@ -157,26 +160,61 @@ def _earlier_likes(apart: DataFrame, similarity: float) -> DataFrame:
         )
         return F.xxhash64("leaf", choice, _xor(inside))
 
-    # with many differences, each segment alone
-    alone = F.transform("parts", lambda part, j: F.xxhash64("leaf", -j, part))
+    # with many differences, each segment alone; the whole leaf if all segments may differ
+    alone = F.when(
+        F.col("segments") > F.col("differ"),
+        F.transform("parts", lambda part, j: F.xxhash64("leaf", -j, part)),
+    ).otherwise(F.array(F.xxhash64("leaf")))
     groups = F.when(few, F.transform(choices, left)).otherwise(alone)
     member = materialised(cut.select("id", F.explode(groups).alias("group")), "line-groups")
     founders = member.groupBy("group").agg(
         F.min("id").alias("founder"), F.count("*").alias("lines")
     ).where("lines > 1")
-    pairs = member.join(founders, "group").where("founder < id").select("id", "founder").distinct()
+    joined = materialised(member.join(founders, "group").where("founder < id"), "line-founders")
+    pairs = joined.select("id", F.col("founder").alias("other")).distinct()
+    found = materialised(_first_likes(apart, pairs, similarity), "line-likes")
+    pairs = materialised(_left_to_compare(joined.where("lines > 2"), found), "line-pairs")
+    likes = found.union(_first_likes(apart, _sent_if_small(pairs), similarity))
+    return likes.select("like.leaf", "like.own", F.col("like.earlier").alias("first"))
+
+
+def _left_to_compare(joined: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, other): for each line, the lines of its groups, without their founders, that are
+    earlier than itself and than its like in `found`. `joined` has the lines of groups that are no
+    founders (id, group, founder, lines).
+
+    Lines of large groups are dealt by parts of them, so that no task has all pairs of a group.
+    """
+    parts = F.ceil(F.col("lines") / GROUP_PART).cast("int")
+    earliest = _sent_if_small(found.select("id", F.col("like.other").alias("like_id")))
+    lines = (
+        joined.join(earliest, "id", "left")
+        .withColumn("before", F.least("id", "like_id")).where("founder < before")
+        .select("id", "before", "group", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    )
+    others = joined.select(
+        F.col("id").alias("other"), "group", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part")
+    )
+    return lines.join(others, ["group", "part"]).where("other < before").select("id", "other").distinct()
+
+
+def _first_likes(apart: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """(id, like): of the pairs (id, other) that share enough fixed tokens, the least other of each
+    id, with the first document of that, and the leaf and own of id."""
     theirs = apart.select(
-        F.col("id").alias("founder"), F.col("first").alias("earlier"),
+        F.col("id").alias("other"), F.col("first").alias("earlier"),
         F.col("tokens").alias("its_tokens"),
     )
     both = F.zip_with(
         "tokens", "its_tokens", lambda x, y: ((x == y) & (x != VARIABLE)).cast("int")
     )
-    alike = F.aggregate(both, F.lit(0), lambda n, one: n + one) >= needed
+    alike = F.aggregate(both, F.lit(0), lambda n, one: n + one) >= _needed(
+        F.size("tokens"), similarity
+    )
     return (
-        pairs.join(apart.select("id", "leaf", "own", "tokens"), "id").join(theirs, "founder")
+        pairs.join(apart.select("id", "leaf", "own", "tokens"), "id").join(theirs, "other")
         .where(alike)
-        .groupBy("leaf", "own").agg(F.min("earlier").alias("first"))
+        .groupBy("id").agg(F.min(F.struct("other", "earlier", "leaf", "own")).alias("like"))
     )
 
 
@@ -222,8 +260,8 @@ def drop_recurring_lines(
     count as `<*>`. Lines in a leaf have one template if they share `similarity` of all their
     tokens, position by position, not counting those with a digit; a line of which too many
     tokens have a digit is a template of its own as it is, so that rows of figures are equal only
-    if their figures are. A line goes from a document if it, or a line that founded a template
-    that it has, was in an earlier one (smaller doc_id, null first, then the text's hash).
+    if their figures are. A line goes from a document if it, or any line of one template with it,
+    was in an earlier one (smaller doc_id, null first, then the text's hash).
 
     Lines with fewer than `min_tokens` tokens stay, unless they have `MIN_CHARS` characters or
     more: these recur where all of their tokens are the same, digits included.

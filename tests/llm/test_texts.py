@@ -411,6 +411,44 @@ def test_lines_against_all_pairs(spark):
     assert dropped_lines(spark, texts) == want
 
 
+def first_likes(texts):
+    """For each document of one line of words, whether an earlier one is like it: all pairs."""
+    def like(a, b):
+        a, b = a.split(), b.split()
+        same = sum(x == y for x, y in zip(a, b, strict=False))
+        return len(a) == len(b) and a[:3] == b[:3] and same >= 0.8 * len(a)
+
+    return {k: 1 for k in texts if any(j < k and like(texts[j], texts[k]) for j in texts)}
+
+
+def test_unlike_lines_before_hide_no_like(spark, monkeypatch):
+    """Earlier lines share every group of a later one, but too few tokens; one in between is like
+    it. Long lines have groups of one or two segments."""
+    monkeypatch.setattr(line_templates, "GROUP_PART", 4, raising=False)
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts, k = {}, 0
+    for n, leaf in ((15, "p"), (20, "q"), (30, "r"), (70, "s")):
+        allowed = int(n * 0.2 + 1e-9)
+        words = [f"{leaf}{letters[j % 26]}{letters[j // 26]}" for j in range(n)]
+        # these keep about half of the line's places, from `start` on, and differ in the others
+        for start in range(3, n):
+            kept = {(start + j - 3) % (n - 3) + 3 for j in range((n - 3) // 2)} | {0, 1, 2}
+            texts[k] = " ".join(w if j in kept else f"x{letters[draw.randrange(26)]}{w}"
+                                for j, w in enumerate(words))
+            k += 1
+        for _ in range(6):
+            changed = set(draw.sample(range(3, n), allowed))
+            texts[k] = " ".join(f"y{letters[draw.randrange(26)]}" if j in changed else w
+                                for j, w in enumerate(words))
+            k += 1
+        texts[k] = " ".join(words)
+        k += 1
+    want = first_likes(texts)
+    assert len(want) >= 4
+    assert dropped_lines(spark, texts) == want
+
+
 def test_long_lines_without_blanks_recur(spark):
     passage = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"
     other = passage.replace("猫", "犬")
