@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,6 +26,10 @@ from flowengine.functions.scalars import is_auth_port, source_or_unknown
 # Windows that a stretch keeps side by side, at most: a mask then fits into 63 bits.
 SIDE_BY_SIDE = 32
 
+# Ports of a block, as a power of two: a number has a bit for each. Blocks kept side by side by a
+# window, as a power of two.
+PORT_BITS, BLOCK_BITS = 6, 2
+
 # Panes a group of `windows_from_panes` may span: 1024 slides of 5 s are 85 minutes.
 STRETCH_PANES = 1024
 
@@ -74,23 +80,36 @@ def sliding_windows_by_row(
 ) -> DataFrame:
     """The same through `window()`: for streams, and for sizes the slide does not divide.
 
-    Three chained aggregations: per port and pane, the longest stretch of time that is in a
-    window as a whole; per port and window, of closed panes only; and per source. No task ever
-    holds a source's port set: state and shuffle rows are plain counters, a scanning source
-    spreads over the cluster by port, and what is copied into each window is a port's pane.
+    Three chained aggregations: per block of ports and pane, the longest stretch of time that is in
+    a window as a whole; per four blocks and window, of closed panes only; and per source. Which
+    ports of a block were seen are the bits of a number. No task ever holds a source's port set:
+    state and shuffle rows are plain numbers, a scanning source spreads over the cluster by blocks
+    of ports, and what is copied into each window is a block's pane.
     """
-    ports = _panes(flows, size, slide, source_or_unknown().alias("src_ip"), F.col("dst_port"))
-    per_port = ports.groupBy(_window_of_panes(size, slide), "src_ip", "dst_port").agg(
-        F.sum("flows").alias("flows")
+    panes = _panes(
+        flows, size, slide, source_or_unknown().alias("src_ip"),
+        F.shiftright("dst_port", PORT_BITS).alias("block"),
+        ports=F.bit_or(F.expr(f"shiftleft(1L, int(dst_port & {(1 << PORT_BITS) - 1}))")),
+        attempts=F.count(F.when(is_auth_port(auth_ports), 1)),
     )
+    blocks = F.shiftright("block", BLOCK_BITS)
+    seen = [f"ports_{k}" for k in range(1 << BLOCK_BITS)]
+    per_blocks = panes.groupBy(
+        _window_of_panes(size, slide), "src_ip", blocks.alias("blocks")
+    ).agg(
+        F.sum("flows").alias("flows"), F.sum("attempts").alias("attempts"),
+        *[
+            F.bit_or(F.expr(f"CASE WHEN block & {len(seen) - 1} = {k} THEN ports END")).alias(c)
+            for k, c in enumerate(seen)
+        ],
+    )
+    distinct = reduce(add, [F.coalesce(F.bit_count(c), F.lit(0)) for c in seen])
     return (
-        per_port.groupBy("window", "src_ip")
+        per_blocks.groupBy("window", "src_ip")
         .agg(
             F.sum("flows").alias("request_count"),
-            F.count("dst_port").alias("distinct_ports"),
-            F.sum(F.when(is_auth_port(auth_ports), F.col("flows")).otherwise(0)).alias(
-                "auth_attempts"
-            ),
+            F.sum(distinct).alias("distinct_ports"),
+            F.sum("attempts").alias("auth_attempts"),
         )
         .select(
             F.col("window.start").alias("window_start"),
@@ -103,10 +122,12 @@ def sliding_windows_by_row(
     )
 
 
-def _panes(flows: DataFrame, size: int, slide: int, *keys: Column) -> DataFrame:
-    """Rows per key and pane; a pane's event time is its last instant."""
+def _panes(flows: DataFrame, size: int, slide: int, *keys: Column, **sums: Column) -> DataFrame:
+    """Rows per key and pane, and further sums; a pane's event time is its last instant."""
     pane = F.window("event_ts", f"{math.gcd(size, slide)} seconds")
-    counted = flows.groupBy(pane, *keys).agg(F.count("*").alias("flows"))
+    counted = flows.groupBy(pane, *keys).agg(
+        F.count("*").alias("flows"), *[of.alias(name) for name, of in sums.items()]
+    )
     return counted.withColumn("pane_ts", F.window_time("window")).drop("window")
 
 

@@ -188,3 +188,26 @@ def test_a_port_is_one_row_of_state_for_each_pane(spark, tmp_path):
     first = [p for p in query.recentProgress if p.numInputRows][0]
     # two panes of five seconds, two ports; later operators only get what is closed
     assert sorted(s.numRowsTotal for s in first.stateOperators) == [0, 0, 4]
+
+
+def test_a_scan_of_neighbouring_ports_is_few_rows_of_state(spark, tmp_path):
+    """Blocks of 64 ports share a row of a pane, and four blocks one of a window."""
+    lines = tmp_path / "lines"
+    write(lines, "1.json", [(s, "a", p) for s in (20, 26) for p in range(1024, 1024 + 256)])
+    flows = streaming.watermarked(source.stream_flows(spark, str(lines)))
+    checkpoint, store = str(tmp_path / "c"), str(tmp_path / "s")
+
+    def run():
+        query = streaming.write_alerts(
+            detect.sliding_alerts(flows), store, checkpoint, availableNow=True
+        )
+        query.awaitTermination()
+        return [sorted(s.numRowsUpdated for s in p.stateOperators) for p in query.recentProgress]
+
+    assert max(max(rows) for rows in run()) == 8
+    # the panes close, and are copied into seven windows
+    write(lines, "2.json", [(200, "b", None)])
+    assert max(max(rows) for rows in run()) == 7
+    alerts = streaming.read_alert_folders(spark, store).collect()
+    assert {(a.attack_type, a.metric_count) for a in alerts} == {("PORT_SCAN", 256)}
+    assert len(alerts) == 7

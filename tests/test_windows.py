@@ -123,6 +123,19 @@ def test_panes_equal_window(spark, size, slide):
     assert by_pane.exceptAll(by_row).count() == 0
 
 
+def test_any_port_counts_once(spark):
+    """Ports at the borders of blocks, beyond 16 bits, negative and missing ones."""
+    ports = [-2**31, -65, -64, -1, 0, 63, 64, 127, 128, 255, 256, 3306, 65535, 65536, 2**31 - 1, None]
+    rows = [(s, "a", p) for s in (0, 1, 7) for p in ports] + [(3, None, None), (4, None, 5)]
+    got = {
+        (r.window_end - ORIGIN).total_seconds(): (r.request_count, r.distinct_ports, r.auth_attempts)
+        for r in windows.sliding_windows_by_row(flows(spark, rows), 10, 5).filter("src_ip = 'a'").collect()
+    }
+    assert got == {5: (32, 15, 2), 10: (48, 15, 3), 15: (16, 15, 1)}
+    unknown = windows.sliding_windows_by_row(flows(spark, rows), 10, 5).filter("src_ip <> 'a'")
+    assert {tuple(r)[3:] for r in unknown.collect()} == {(2, 1, 0)}
+
+
 @pytest.mark.parametrize("stretch", [1, 3, 8])
 def test_short_stretches_give_the_same_windows(spark, monkeypatch, stretch):
     monkeypatch.setattr(windows, "STRETCH_PANES", stretch)
