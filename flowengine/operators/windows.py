@@ -94,7 +94,7 @@ def sliding_windows_by_row(
     )
     blocks = F.shiftright("block", BLOCK_BITS)
     seen = [f"ports_{k}" for k in range(1 << BLOCK_BITS)]
-    per_blocks = panes.groupBy(
+    per_blocks = _together(panes, size, slide, blocks).groupBy(
         _window_of_panes(size, slide), "src_ip", blocks.alias("blocks")
     ).agg(
         F.sum("flows").alias("flows"), F.sum("attempts").alias("attempts"),
@@ -131,6 +131,18 @@ def _panes(flows: DataFrame, size: int, slide: int, *keys: Column, **sums: Colum
     return counted.withColumn("pane_ts", F.window_time("window")).drop("window")
 
 
+def _together(panes: DataFrame, size: int, slide: int, blocks: Column) -> DataFrame:
+    """Panes with what shares their windows, so that copies are summed before the next shuffle and
+    a task holds windows, not copies. Long times are dealt apart; windows over their borders
+    are summed after the shuffle, like all. On a stream, where closed panes are few at a time, a
+    further shuffle takes longer than it saves."""
+    if panes.isStreaming:
+        return panes
+    seconds = F.unix_seconds("pane_ts")
+    stretch = pane_of(seconds, math.gcd(size, slide) * STRETCH_PANES)
+    return panes.repartition("src_ip", blocks, stretch)
+
+
 def _window_of_panes(size: int, slide: int) -> Column:
     return F.window("pane_ts", f"{size} seconds", f"{slide} seconds")
 

@@ -136,6 +136,15 @@ def test_any_port_counts_once(spark):
     assert {tuple(r)[3:] for r in unknown.collect()} == {(2, 1, 0)}
 
 
+def test_copies_of_panes_are_summed_where_they_are_made(spark):
+    """Panes are dealt by source and ports before they are copied into windows."""
+    frame = flows(spark, [(s, f"s{k}", 80) for s in range(0, 600, 5) for k in range(20)])
+    every = windows.sliding_windows_by_row(frame, 30, 5)
+    assert every.count() == 20 * 125
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "Exchange hashpartitioning(src_ip" in plan
+
+
 @pytest.mark.parametrize("stretch", [1, 3, 8])
 def test_short_stretches_give_the_same_windows(spark, monkeypatch, stretch):
     monkeypatch.setattr(windows, "STRETCH_PANES", stretch)
