@@ -361,7 +361,7 @@ def _over_passes(passes: list[DataFrame]) -> DataFrame:
 
 
 def without_spans(text: Column, spans: Column) -> Column:
-    """The text less its spans of characters, which are in order and apart."""
+    """The text less its spans of characters, which are in order and apart; null of a null text."""
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
     starts = F.concat(
         F.transform(spans, lambda s: s["start"]), F.array(F.length(text).cast("long"))
@@ -370,7 +370,7 @@ def without_spans(text: Column, spans: Column) -> Column:
         F.arrays_zip(ends.alias("a"), starts.alias("b")),
         lambda x: F.substring(text, x["a"] + 1, x["b"] - x["a"]),
     )
-    return F.array_join(pieces, "")
+    return F.when(text.isNotNull(), F.array_join(pieces, ""))
 
 
 def decontaminated(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

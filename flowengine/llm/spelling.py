@@ -145,7 +145,9 @@ class _Layout:
         shard = min(length, LONGEST)
         if not self.blocks[shard]:
             return np.full(len(keys), -1)
-        high = (keys >> np.uint64(32)) * self.blocks[shard] >> np.uint64(32)
+        # of all bits of the keys, whatever range these are from
+        high = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) * self.blocks[shard]
+        high >>= np.uint64(32)
         return self.first[shard] + high.astype(np.int64)
 
 
